@@ -36,6 +36,12 @@ def list_literal(short: DataFrame, k: int = LIST_LENGTH) -> Column:
     return short.where(F.col("rank") <= k).agg(_ordered("rank")).scalar()
 
 
+def list_map_literal(ranked: DataFrame, key: str, k: int = LIST_LENGTH) -> Column:
+    """Popular lists of a few fixed keys as one map value, computed in one pass."""
+    lists = to_lists(ranked, key, k)
+    return lists.agg(F.map_from_entries(F.collect_list(F.struct(key, "items")))).scalar()
+
+
 def population_lists(
     population: DataFrame,
     lists: DataFrame,
@@ -83,12 +89,12 @@ def blend(
     order of the lists. Columns: ``customer_id, rank, article_id, score``.
     """
     weights = weights or [1.0] * len(lists)
+    # List number and rank in one number: the first place sorts and aggregates as a long.
     parts = [
         ranked.select(
             "customer_id",
             "article_id",
-            F.lit(i).alias("_list"),
-            F.col("rank").cast("bigint").alias("_rank"),
+            (F.lit(i << 40) + F.col("rank")).alias("_place"),
             (F.lit(float(weight)) / F.col("rank")).alias("_part"),
         )
         for i, (ranked, weight) in enumerate(zip(lists, weights))
@@ -99,7 +105,7 @@ def blend(
         rows = rows.unionByName(part)
     scores = rows.groupBy("customer_id", "article_id").agg(
         F.round(F.sum("_part"), SCORE_DIGITS).alias("score"),
-        F.min(F.struct("_list", "_rank")).alias("_first"),
+        F.min("_place").alias("_first"),
     )
     order = [F.desc("score"), F.asc("_first")]
     return top_per_group(scores, ["customer_id"], order, k).select(

@@ -7,13 +7,8 @@ from pyspark.sql import functions as F
 
 from basketry.functions.dates import DateLike
 from basketry.functions.keys import LIST_LENGTH
-from basketry.operators.skew import positions, top_per_group
-from basketry.operators.windows import (
-    WindowList,
-    customer_recency,
-    date_window,
-    numbered_windows,
-)
+from basketry.operators.skew import join_totals, positions, top_per_group
+from basketry.operators.windows import WindowList, date_window, numbered_windows
 
 # Article ids are ten digits. Four leading digits as a bucket leave at most a
 # million different ids in one bucket, and at most ten thousand buckets per day.
@@ -98,13 +93,12 @@ def last_purchase_items(
 ) -> DataFrame:
     """Articles bought less than ``days`` days before the customer's own last date, newest first.
 
+    Only the last date of each (customer, article) matters, so the rows are
+    reduced to that first and the customer's last date comes from the result.
     Without ``k`` the lists are whole, numbered bucket by bucket.
     """
-    latest = (
-        customer_recency(tx, days - 1)
-        .groupBy("customer_id", "article_id")
-        .agg(F.max("t_dat").alias("last_dat"))
-    )
+    pairs = tx.groupBy("customer_id", "article_id").agg(F.max("t_dat").alias("last_dat"))
+    latest = _recent(pairs, "last_dat", days - 1)
     if k is not None:
         return top_per_group(latest, ["customer_id"], recent_first(), k)
     return positions(
@@ -115,11 +109,26 @@ def last_purchase_items(
     )
 
 
+def _recent(rows: DataFrame, date: str, within_days: int) -> DataFrame:
+    """Rows within the last days of each customer, from an aggregate that has all of the dates."""
+    last = rows.groupBy("customer_id").agg(F.max(date).alias("_last"))
+    return (
+        join_totals(rows, last, ["customer_id"])
+        .where(F.datediff("_last", date) <= within_days)
+        .drop("_last")
+    )
+
+
 def last_week_items(
     tx: DataFrame, within_days: int = 6, k: int = LIST_LENGTH
 ) -> DataFrame:
     """Articles of the customer's own last week, most often and then most recently bought first."""
-    counts = customer_article_counts(customer_recency(tx, within_days))
+    daily = tx.groupBy("customer_id", "article_id", "t_dat").agg(F.count(F.lit(1)).alias("n"))
+    counts = (
+        _recent(daily, "t_dat", within_days)
+        .groupBy("customer_id", "article_id")
+        .agg(F.sum("n").alias("n"), F.max("t_dat").alias("last_dat"))
+    )
     return top_per_group(counts, ["customer_id"], frequent_then_recent(), k).select(
         "customer_id", "rank", "article_id", "n", "last_dat"
     )

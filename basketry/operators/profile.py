@@ -99,7 +99,8 @@ def quantiles(
     )
 
 
-def _quartile_columns(df: DataFrame, column: str, bins: int) -> DataFrame:
+def _quartiles(df: DataFrame, column: str, bins: int) -> DataFrame:
+    """One row ``q1, q2, q3``."""
     found = quantiles(df, column, QUARTILES, bins)
     return found.agg(
         *[
@@ -120,11 +121,15 @@ def describe(df: DataFrame, columns: list[str], bins: int = 1000) -> DataFrame:
             F.round(F.stddev_samp(c), 6).alias("std"),
             F.min(c).alias("min"),
             F.max(c).alias("max"),
-        ).withColumn("column", F.lit(column))
-        quartile = _quartile_columns(df, column, bins).withColumn("column", F.lit(column))
-        row = basic.join(quartile, "column").select(
-            "column", "count", "mean", "std", "min",
-            *[F.round(q, 6).alias(q) for q in ("q1", "q2", "q3")],
+        )
+        box = _quartiles(df, column, bins).select(F.struct("q1", "q2", "q3").alias("box")).scalar()
+        row = basic.withColumn("box", box).select(
+            F.lit(column).alias("column"),
+            "count",
+            "mean",
+            "std",
+            "min",
+            *[F.round(F.col(f"box.{q}"), 6).alias(q) for q in ("q1", "q2", "q3")],
             "max",
         )
         out = row if out is None else out.unionByName(row)
@@ -133,7 +138,7 @@ def describe(df: DataFrame, columns: list[str], bins: int = 1000) -> DataFrame:
 
 def box_stats(df: DataFrame, column: str, bins: int = 1000) -> DataFrame:
     """Quartiles, whiskers (last value within 1.5 interquartile ranges) and outliers."""
-    quartile = _quartile_columns(df, column, bins)
+    quartile = _quartiles(df, column, bins)
     spread = F.col("q3") - F.col("q1")
     fences = quartile.select(
         F.struct(

@@ -165,12 +165,10 @@ def copurchase_pairs(
         "customer_id", week_bucket("t_dat", last, days).alias("week_end"), "article_id"
     ).distinct()
     sizes = rows.groupBy(*basket).agg(F.count(F.lit(1)).alias("size"))
-    rows = cut_lineage(join_totals(rows, sizes, basket).where(F.col("size") > 1))
-    commonness = tx.select(
-        "customer_id", week_bucket("t_dat", last, days).alias("week_end"), "article_id"
-    ).distinct().groupBy("article_id").agg(F.count(F.lit(1)).alias("baskets"))
+    rows = cut_lineage(join_totals(rows, sizes, basket))
+    commonness = rows.groupBy("article_id").agg(F.count(F.lit(1)).alias("baskets"))
 
-    small = rows.where(F.col("size") <= direct_basket).drop("size")
+    small = rows.where(F.col("size").between(2, direct_basket)).drop("size")
     large = rows.where(F.col("size") > direct_basket).drop("size")
     other = small.withColumnRenamed("article_id", "article_id2")
     counted = (

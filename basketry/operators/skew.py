@@ -51,28 +51,25 @@ def positions(
     so that no task ever sorts a whole group. With ``weight`` a row stands for
     that many neighbouring rows and gets the position of the first of them.
     """
-    for bucket, expression in buckets.items():
-        rows = rows.withColumn(bucket, expression)
     keys = [*group, *buckets]
-    size = F.sum(weight) if weight else F.count(F.lit(1))
-    earlier = Window.partitionBy(*group).orderBy(*buckets).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = rows.groupBy(*keys).agg(size.alias("_n")).select(
-        *keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
     inside = Window.partitionBy(*keys).orderBy(*order)
     if weight:
         before = inside.rowsBetween(Window.unboundedPreceding, -1)
         within = F.coalesce(F.sum(weight).over(before), F.lit(0)) + 1
+        last = F.col("_within") + F.col(weight) - 1
     else:
         within = F.row_number().over(inside)
-    return (
-        rows.withColumn("_within", within)
-        .join(offsets, keys)
-        .withColumn(name, (F.col("_before") + F.col("_within")).cast("bigint"))
-        .drop("_before", "_within", *buckets)
+        last = F.col("_within")
+    placed = rows.withColumns(buckets).withColumn("_within", within)
+    # The sizes come from the numbered rows, so both sides of the join share one shuffle.
+    earlier = Window.partitionBy(*group).orderBy(*buckets).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = placed.groupBy(*keys).agg(F.max(last).alias("_n")).select(
+        *keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
+    position = (F.col("_before") + F.col("_within")).cast("bigint")
+    return placed.join(offsets, keys).select(*rows.columns, position.alias(name))
 
 
 def attach_segment_list(

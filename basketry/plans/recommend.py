@@ -12,6 +12,7 @@ from basketry.operators import factor, popularity
 from basketry.operators.combine import (
     blend,
     list_literal,
+    list_map_literal,
     population_lists,
     prune,
     segment_items,
@@ -35,6 +36,7 @@ from basketry.operators.windows import (
     sold_articles,
     trailing_window,
 )
+from basketry.sources.lineage import cut_lineage
 
 
 def popular_literal(
@@ -131,25 +133,17 @@ def three_tier(
     ``1 .. i`` together; customers in no window get the list of ``fallback_tier``.
     """
     own = _first_tier(tx, windows, [k] * len(windows))
-    number = F.col("window_no")
-    tiers = range(1, len(windows) + 1)
-    sold = numbered_windows(tx, windows).groupBy("article_id").agg(
-        *[F.count_if(number <= i).alias(f"_n{i}") for i in tiers]
+    window_counts = popularity.article_counts(numbered_windows(tx, windows), ["window_no"])
+    reached = F.sequence(F.col("window_no"), F.lit(len(windows)))
+    sold = (
+        window_counts.withColumn("tier", F.explode(reached))
+        .groupBy("tier", "article_id")
+        .agg(F.sum("n").alias("n"))
+    )
+    best = top_per_group(sold, ["tier"], [F.desc("n"), F.asc("article_id")], k)
+    fill = F.element_at(
+        list_map_literal(best, "tier", k), F.coalesce("tier", F.lit(fallback_tier))
     )
-    lists = {
-        i: list_literal(
-            popularity.top_k_global(
-                sold.select("article_id", F.col(f"_n{i}").alias("n")).where(F.col("n") > 0), k
-            ),
-            k,
-        )
-        for i in tiers
-    }
-    fill = None
-    for i in tiers:
-        hit = F.col("tier") == i
-        fill = F.when(hit, lists[i]) if fill is None else fill.when(hit, lists[i])
-    fill = fill.otherwise(lists[fallback_tier])
     return population.select("customer_id").join(own, "customer_id", "left").select(
         "customer_id", list_fill("items", fill, k).alias("items")
     )
@@ -241,6 +235,10 @@ def stacked_alternates(
     )
 
 
+# Not a channel id: the list over all channels.
+ALL_CHANNELS = 0
+
+
 def channel_fill(
     tx: DataFrame,
     articles: DataFrame,
@@ -253,29 +251,26 @@ def channel_fill(
 ) -> DataFrame:
     """Stacked history with alternates, then the popular articles of the customer's channel.
 
-    Channel 1 if the customer has a row in it, else channel 2, else all channels.
+    The lowest channel the customer has a row in, else all channels.
     """
     own = to_lists(
         stacked_alternate_items(tx, articles, windows, k=k, dedup=dedup, **options), k=k
     )
     start, end = windows[popular_windows - 1][0], windows[0][1]
     size = 2 * k if dedup else k
-    by_channel = popular_items(tx, start, end, k=size, by="sales_channel_id")
+    # Key 0 counts every row, so that all lists come from one pass over the window.
+    keyed = tx.withColumn(
+        "fill_key", F.explode(F.array(F.lit(ALL_CHANNELS), F.col("sales_channel_id")))
+    )
+    lists = list_map_literal(
+        popular_items(keyed, start, end, k=size, by="fill_key"), "fill_key", size
+    )
     channel = (
         tx.where(in_window("t_dat", start, end))
         .groupBy("customer_id")
         .agg(F.min("sales_channel_id").alias("channel"))
     )
-    fill = F.coalesce(
-        F.when(
-            F.col("channel") == 1,
-            list_literal(by_channel.where(F.col("sales_channel_id") == 1), size),
-        ).when(
-            F.col("channel") == 2,
-            list_literal(by_channel.where(F.col("sales_channel_id") == 2), size),
-        ),
-        popular_literal(tx, start, end, k, dedup=dedup),
-    )
+    fill = F.element_at(lists, F.coalesce("channel", F.lit(ALL_CHANNELS)))
     return (
         population.select("customer_id")
         .join(own, "customer_id", "left")
@@ -303,14 +298,13 @@ def last_week_pair_items(
     tx: DataFrame, pairs: DataFrame, within_days: int = 6, k: int = LIST_LENGTH
 ) -> DataFrame:
     """The customer's own last week, then what goes with it, each article once."""
-    own = last_week_items(tx, within_days, k).select(
-        "customer_id", F.lit(0).alias("_part"), "rank", "article_id"
-    )
+    own = last_week_items(tx, within_days, k).select("customer_id", "rank", "article_id")
     paired = join_totals(own, pairs.select("article_id", "article_id2"), ["article_id"]).select(
-        "customer_id", F.lit(1).alias("_part"), "rank", F.col("article_id2").alias("article_id")
+        "customer_id", (F.col("rank") + k).alias("rank"), F.col("article_id2").alias("article_id")
+    )
+    rows = own.unionByName(paired).groupBy("customer_id", "article_id").agg(
+        F.min("rank").alias("_place")
     )
-    place = F.min(F.struct("_part", F.col("rank").alias("_rank"))).alias("_place")
-    rows = own.unionByName(paired).groupBy("customer_id", "article_id").agg(place)
     return top_per_group(rows, ["customer_id"], [F.asc("_place")], k).select(
         "customer_id", "rank", "article_id"
     )
@@ -379,7 +373,10 @@ def blended(
     """Blend of last purchases, their variants and segment best sellers, pruned to what still sells."""
     past = tx.where(F.col("t_dat") <= as_date(last))
     bought = last_purchase_items(past, purchase_days).select("customer_id", "rank", "article_id")
-    bought = bought.join(population.select("customer_id"), "customer_id", "left_semi")
+    # Read twice below, and the only part that needs every row of the past.
+    bought = cut_lineage(
+        bought.join(population.select("customer_id"), "customer_id", "left_semi")
+    )
     lists = [bought, variant_items(bought, past, articles, last, variant_days)]
     if by_channel:
         groups = popularity.population_channel_group(population, tx)

@@ -59,6 +59,16 @@ def read_population(spark: SparkSession, path: str) -> DataFrame:
     return _aligned_csv(spark, path, schema.POPULATION).select("customer_id")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when the input has fewer splits than there are cores.
+
+    One file of one row group, or a gzip file, is read by a single task. Input
+    that already splits into enough tasks is returned as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     rows = spark.read.parquet(path)
     return rows.select(*columns) if columns else rows

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators.windows import back_windows
+from basketry.sources.tables import spread
 
 CLICKS_DAYS = 7
 CLICKS_LAST = dt.date(2024, 1, 30)
@@ -42,12 +43,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def _id(column: str):
     return F.lpad(F.col(column).cast("string"), 10, "0")
 
 
 def retail(spark: SparkSession, sf_dir: str) -> Shop:
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders")
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     tx = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -72,7 +77,7 @@ def retail(spark: SparkSession, sf_dir: str) -> Shop:
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> Shop:
-    events = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    events = spread(table(spark, sf_dir, "events")).where(F.col("event_type") == "purchase")
     tx = events.select(
         F.col("ts").cast("date").alias("t_dat"),
         _id("user_id").alias("customer_id"),

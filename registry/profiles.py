@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from basketry.functions.dates import date_parts
 from basketry.operators import profile
 from registry.base import query
-from registry.fixtures import clicks, clicks_sql, retail, retail_sql, table
+from registry.fixtures import clicks, clicks_sql, documents, retail, retail_sql
 
 RETAIL_COLUMNS = ["t_dat", "customer_id", "article_id", "price", "age", "prod_name"]
 
@@ -156,7 +156,7 @@ SELECT ngram, count(*) AS n FROM grams GROUP BY 1 ORDER BY n DESC, ngram LIMIT 2
 
 def _top_ngrams(n):
     def run(spark, sf_dir):
-        return profile.top_ngrams(table(spark, sf_dir, "documents"), "text", n)
+        return profile.top_ngrams(documents(spark, sf_dir), "text", n)
 
     return run
 
@@ -169,7 +169,7 @@ query("top_trigrams", _ngrams_sql(3))(_top_ngrams(3))
 @query("top_ngrams_no_stop_words")
 def top_ngrams_no_stop_words(spark, sf_dir):
     return profile.top_ngrams(
-        table(spark, sf_dir, "documents"), "text", 2, stop_words=profile.english_stop_words()
+        documents(spark, sf_dir), "text", 2, stop_words=profile.english_stop_words()
     )
 
 
@@ -179,7 +179,7 @@ def top_ngrams_no_stop_words(spark, sf_dir):
 SELECT ngram, count(*) AS n FROM (SELECT unnest(w) AS ngram FROM words) GROUP BY 1""",
 )
 def word_frequencies(spark, sf_dir):
-    return profile.word_frequencies(table(spark, sf_dir, "documents"), "text")
+    return profile.word_frequencies(documents(spark, sf_dir), "text")
 
 
 @query(
@@ -190,7 +190,7 @@ def word_frequencies(spark, sf_dir):
 def word_frequencies_by_lang(spark, sf_dir):
     from basketry.functions.text import tokens
 
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     words = docs.select("lang", F.explode(tokens("text", lower=True)).alias("word"))
     return words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
 

@@ -19,7 +19,7 @@ from registry.fixtures import (
     clicks_sql,
     retail,
     retail_sql,
-    table,
+    documents,
 )
 
 W1, W2, W3, W4, W5 = CLICKS_WINDOWS
@@ -98,7 +98,7 @@ def date_parts(spark, sf_dir):
        FROM documents WHERE text IS NOT NULL""",
 )
 def text_lengths_query(spark, sf_dir):
-    return text_lengths(table(spark, sf_dir, "documents"), "text").select(
+    return text_lengths(documents(spark, sf_dir), "text").select(
         "doc_id", "lang", "string_count", "word_count"
     )
 

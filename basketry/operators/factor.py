@@ -24,13 +24,18 @@ ID_BUCKETS = 4096
 
 @dataclass(frozen=True)
 class FactorSettings:
-    """ALS settings; the defaults are the smallest set of the grid."""
+    """ALS settings; the defaults are the smallest set of the grid.
+
+    ``blocks`` is the number of user and item blocks; by default as many as the
+    session has shuffle partitions, so that a block fits into a task.
+    """
 
     rank: int = 40
     iterations: int = 3
     regularization: float = 0.01
     alpha: float = 1.0
     seed: int = 42
+    blocks: int | None = None
 
 
 # Fixed values of the grid search.
@@ -48,6 +53,26 @@ def full_grid() -> list[FactorSettings]:
     ]
 
 
+def _als(rows: DataFrame, settings: FactorSettings, **options) -> ALS:
+    """ALS on the columns ``user``, ``item`` and ``rating``."""
+    spark = rows.sparkSession
+    ensure_checkpoint_dir(spark)
+    blocks = settings.blocks or max(10, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return ALS(
+        rank=settings.rank,
+        maxIter=settings.iterations,
+        regParam=settings.regularization,
+        alpha=settings.alpha,
+        seed=settings.seed,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
+        userCol="user",
+        itemCol="item",
+        ratingCol="rating",
+        **options,
+    )
+
+
 def dense_ids(rows: DataFrame, key: str, name: str) -> DataFrame:
     """Distinct keys numbered 0 .. n-1: ``key, name``.
 
@@ -97,25 +122,17 @@ def als_items(
 ) -> DataFrame:
     """Top ``k`` articles by implicit-feedback ALS: ``customer_id, rank, article_id``.
 
-    Bought articles may come back. Only customers with factors get rows.
+    Bought articles may come back. Only customers with factors get rows. Scoring
+    every article for every wanted customer is what the model is asked for;
+    Spark ML does it block by block and keeps ``k`` per customer and block.
     """
-    ensure_checkpoint_dir(tx.sparkSession)
     counts = tx.groupBy("customer_id", "article_id").agg(
         F.count(F.lit(1)).cast("float").alias("rating")
     )
     ratings, users, items = with_dense_ids(counts)
-    model = ALS(
-        implicitPrefs=True,
-        rank=settings.rank,
-        maxIter=settings.iterations,
-        regParam=settings.regularization,
-        alpha=settings.alpha,
-        seed=settings.seed,
-        userCol="user",
-        itemCol="item",
-        ratingCol="rating",
-        coldStartStrategy="drop",
-    ).fit(ratings.select("user", "item", "rating"))
+    model = _als(ratings, settings, implicitPrefs=True, coldStartStrategy="drop").fit(
+        ratings.select("user", "item", "rating")
+    )
     wanted = users.join(population.select("customer_id"), "customer_id", "left_semi")
     best = model.recommendForUserSubset(wanted.select("user"), k)
     exploded = best.select("user", F.posexplode("recommendations").alias("_pos", "_rec"))
@@ -196,7 +213,6 @@ def mf_reranked_items(
     are averages, ALS is fitted to what they leave over, and only the candidate
     rows are scored. ``ascending`` puts the lowest prediction first.
     """
-    ensure_checkpoint_dir(tx.sparkSession)
     window = date_window(tx, start, end)
     feedback = cut_lineage(normalised_feedback(window))
     mean = feedback.agg(F.avg("feedback")).scalar()
@@ -212,16 +228,9 @@ def mf_reranked_items(
         (F.col("_c") - F.col("item_bias") - F.col("user_bias")).cast("float").alias("rating"),
     )
     ratings, users, items = with_dense_ids(residual)
-    model = ALS(
-        rank=settings.rank,
-        maxIter=settings.iterations,
-        regParam=settings.regularization,
-        seed=settings.seed,
-        userCol="user",
-        itemCol="item",
-        ratingCol="rating",
-        coldStartStrategy="nan",
-    ).fit(ratings.select("user", "item", "rating"))
+    model = _als(ratings, settings, coldStartStrategy="nan").fit(
+        ratings.select("user", "item", "rating")
+    )
 
     rows = history_items(tx, start, end, candidates)
     rows = join_totals(rows, users.join(user_bias, "customer_id"), ["customer_id"])

@@ -51,8 +51,20 @@ def histogram(df: DataFrame, column: str, width: float, low: float = 0.0) -> Dat
     )
 
 
+def _bin_edges(df: DataFrame, columns: list[str], bins: int) -> dict[str, list[float]]:
+    """Approximate quantiles of all columns in one pass; at most ``bins`` numbers per column."""
+    fractions = [i / bins for i in range(1, bins)]
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    found = doubles.approxQuantile(columns, fractions, 1.0 / bins)
+    return {c: sorted(set(edges)) for c, edges in zip(columns, found)}
+
+
 def quantiles(
-    df: DataFrame, column: str, fractions: tuple[float, ...] = QUARTILES, bins: int = 1000
+    df: DataFrame,
+    column: str,
+    fractions: tuple[float, ...] = QUARTILES,
+    bins: int = 1000,
+    edges: list[float] | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: ``fraction, value``.
 
@@ -60,8 +72,8 @@ def quantiles(
     tell which bins hold the wanted places, and only those are sorted. No task
     and no aggregation buffer holds all values.
     """
+    cuts = _bin_edges(df, [column], bins)[column] if edges is None else edges
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    cuts = sorted(set(values.approxQuantile("v", [i / bins for i in range(1, bins)], 1.0 / bins)))
     splits = [float("-inf"), *cuts, float("inf")]
     counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
     binned = Bucketizer(splits=splits, inputCol="v", outputCol="bin").transform(counted)
@@ -99,9 +111,9 @@ def quantiles(
     )
 
 
-def _quartiles(df: DataFrame, column: str, bins: int) -> DataFrame:
+def _quartiles(df: DataFrame, column: str, bins: int, edges: list[float] | None = None) -> DataFrame:
     """One row ``q1, q2, q3``."""
-    found = quantiles(df, column, QUARTILES, bins)
+    found = quantiles(df, column, QUARTILES, bins, edges)
     return found.agg(
         *[
             F.max(F.when(F.col("fraction") == fraction, F.col("value"))).alias(name)
@@ -112,28 +124,29 @@ def _quartiles(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str], bins: int = 1000) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
-    out = None
+    edges = _bin_edges(df, columns, bins)
+    basic, rows = [], []
     for column in columns:
         c = F.col(column).cast("double")
-        basic = df.agg(
-            F.count(c).alias("count"),
-            F.round(F.avg(c), 6).alias("mean"),
-            F.round(F.stddev_samp(c), 6).alias("std"),
-            F.min(c).alias("min"),
-            F.max(c).alias("max"),
-        )
-        box = _quartiles(df, column, bins).select(F.struct("q1", "q2", "q3").alias("box")).scalar()
-        row = basic.withColumn("box", box).select(
-            F.lit(column).alias("column"),
-            "count",
-            "mean",
-            "std",
-            "min",
-            *[F.round(F.col(f"box.{q}"), 6).alias(q) for q in ("q1", "q2", "q3")],
-            "max",
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+        basic += [
+            F.struct(
+                F.count(c).alias("count"),
+                F.round(F.avg(c), 6).alias("mean"),
+                F.round(F.stddev_samp(c), 6).alias("std"),
+                F.min(c).alias("min"),
+                F.max(c).alias("max"),
+            ).alias(column)
+        ]
+        box = _quartiles(df, column, bins, edges[column]).select(F.struct("q1", "q2", "q3")).scalar()
+        rows += [
+            F.struct(
+                F.lit(column).alias("column"),
+                *[F.col(column)[name].alias(name) for name in ("count", "mean", "std", "min")],
+                *[F.round(box[name], 6).alias(name) for name in ("q1", "q2", "q3")],
+                F.col(column)["max"].alias("max"),
+            )
+        ]
+    return df.agg(*basic).select(F.inline(F.array(*rows)))
 
 
 def box_stats(df: DataFrame, column: str, bins: int = 1000) -> DataFrame:

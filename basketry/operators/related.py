@@ -12,7 +12,7 @@ from basketry.operators.windows import trailing_window
 from basketry.sources.lineage import cut_lineage
 
 # Baskets up to this many articles are paired directly.
-DIRECT_BASKET = 256
+DIRECT_BASKET = 1000
 # Positions per bucket when a mapped list is renumbered.
 LIST_BUCKET = 1000
 
@@ -154,7 +154,8 @@ def copurchase_pairs(
     Baskets of up to ``direct_basket`` articles are self-joined. Larger ones are
     never paired in full, yet the result is exact:
 
-    - a pair already known from the small baskets gets its large baskets added;
+    - a pair already known from the small baskets gets its large baskets added,
+      if these can bring it level with the article's best partner so far;
     - of the pairs that meet in one large basket only, none beats the basket's
       most common other article, so that one stands for all of them;
     - what is left needs two articles that share at least two large baskets, and
@@ -224,9 +225,18 @@ def _with_large_baskets(
         .groupBy("article_id", "article_id2")
         .agg(F.max("n").alias("n"))
     )
+    reach = large.groupBy("article_id").agg(F.count(F.lit(1)).alias("_reach"))
+    reach2 = reach.select(
+        F.col("article_id").alias("article_id2"), F.col("_reach").alias("_reach2")
+    )
+    best = known.groupBy("article_id").agg(F.max("n").alias("_best"))
+    promising = join_totals(join_totals(known, best, ["article_id"]), reach, ["article_id"])
+    promising = join_totals(promising, reach2, ["article_id2"]).where(
+        F.col("n") + F.least("_reach", "_reach2") >= F.col("_best")
+    )
     partner = large.withColumnRenamed("article_id", "article_id2")
     shared = (
-        known.select("article_id", "article_id2")
+        promising.select("article_id", "article_id2")
         .join(large, "article_id")
         .join(partner, ["article_id2", *basket], "left_semi")
         .groupBy("article_id", "article_id2")
@@ -240,9 +250,7 @@ def _with_large_baskets(
         )
     )
     floor = known.groupBy("article_id").agg(F.max("n").alias("_floor"))
-    reach = large.groupBy("article_id").agg(F.count(F.lit(1)).alias("_reach")).where(
-        F.col("_reach") >= 2
-    )
+    reach = reach.where(F.col("_reach") >= 2)
     open_rows = join_totals(
         large, reach.join(floor, "article_id"), ["article_id"]
     ).where(F.col("_floor") <= F.col("_reach"))

@@ -90,14 +90,31 @@ def dense_ids(rows: DataFrame, key: str, name: str) -> DataFrame:
     return numbered.select(key, (F.col(name) - 1).cast("int").alias(name))
 
 
-def with_dense_ids(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``rows`` with integer ``user`` and ``item``, and the two id tables."""
-    users = cut_lineage(dense_ids(rows, "customer_id", "user"))
-    items = cut_lineage(dense_ids(rows, "article_id", "item"))
-    joined = join_totals(
-        join_totals(rows, users, ["customer_id"]), items, ["article_id"]
+@dataclass(frozen=True)
+class Ratings:
+    """``user, item, rating`` and the tables from ids to numbers, all written once."""
+
+    ratings: DataFrame
+    users: DataFrame
+    items: DataFrame
+
+
+def numbered_ratings(pairs: DataFrame) -> Ratings:
+    """Dense integer ids for ``customer_id, article_id, rating``."""
+    pairs = cut_lineage(pairs)
+    users = cut_lineage(dense_ids(pairs, "customer_id", "user"))
+    items = cut_lineage(dense_ids(pairs, "article_id", "item"))
+    joined = join_totals(join_totals(pairs, users, ["customer_id"]), items, ["article_id"])
+    return Ratings(cut_lineage(joined.select("user", "item", "rating")), users, items)
+
+
+def purchase_ratings(tx: DataFrame) -> Ratings:
+    """Number of purchases per (customer, article)."""
+    return numbered_ratings(
+        tx.groupBy("customer_id", "article_id").agg(
+            F.count(F.lit(1)).cast("float").alias("rating")
+        )
     )
-    return joined, users, items
 
 
 def normalised_feedback(tx: DataFrame) -> DataFrame:
@@ -115,7 +132,7 @@ def normalised_feedback(tx: DataFrame) -> DataFrame:
 
 
 def als_items(
-    tx: DataFrame,
+    data: Ratings,
     population: DataFrame,
     settings: FactorSettings = FactorSettings(),
     k: int = LIST_LENGTH,
@@ -126,20 +143,16 @@ def als_items(
     every article for every wanted customer is what the model is asked for;
     Spark ML does it block by block and keeps ``k`` per customer and block.
     """
-    counts = tx.groupBy("customer_id", "article_id").agg(
-        F.count(F.lit(1)).cast("float").alias("rating")
-    )
-    ratings, users, items = with_dense_ids(counts)
-    model = _als(ratings, settings, implicitPrefs=True, coldStartStrategy="drop").fit(
-        ratings.select("user", "item", "rating")
+    model = _als(data.ratings, settings, implicitPrefs=True, coldStartStrategy="drop").fit(
+        data.ratings
     )
-    wanted = users.join(population.select("customer_id"), "customer_id", "left_semi")
+    wanted = data.users.join(population.select("customer_id"), "customer_id", "left_semi")
     best = model.recommendForUserSubset(wanted.select("user"), k)
     exploded = best.select("user", F.posexplode("recommendations").alias("_pos", "_rec"))
     return (
         exploded.select("user", (F.col("_pos") + 1).alias("rank"), F.col("_rec.item").alias("item"))
-        .join(items, "item")
-        .join(users, "user")
+        .join(data.items, "item")
+        .join(data.users, "user")
         .select("customer_id", "rank", "article_id")
     )
 
@@ -149,11 +162,16 @@ def als_lists(
     population: DataFrame,
     settings: FactorSettings = FactorSettings(),
     k: int = LIST_LENGTH,
+    data: Ratings | None = None,
 ) -> DataFrame:
-    """ALS lists for the population; customers without factors get the most bought articles."""
+    """ALS lists for the population; customers without factors get the most bought articles.
+
+    ``data`` is ``purchase_ratings(tx)``, if several fits share it.
+    """
+    data = purchase_ratings(tx) if data is None else data
     popular = list_literal(top_k_global(article_counts(tx), k), k)
     return population_lists(
-        population, to_lists(als_items(tx, population, settings, k), k=k), popular, k
+        population, to_lists(als_items(data, population, settings, k), k=k), popular, k
     )
 
 
@@ -184,8 +202,9 @@ def grid_search(
     train, valid = temporal_split(tx.select("t_dat", "customer_id", "article_id"), cut)
     train, valid = cut_lineage(train), cut_lineage(valid)
     buyers = valid.select("customer_id").distinct()
+    data = purchase_ratings(train)
     scores = [
-        map_at_k(valid, als_lists(train, buyers, settings, k), k).first()["map"]
+        map_at_k(valid, als_lists(train, buyers, settings, k, data), k).first()["map"]
         for settings in grid
     ]
     best = max(range(len(grid)), key=lambda i: scores[i])
@@ -227,14 +246,12 @@ def mf_reranked_items(
         "article_id",
         (F.col("_c") - F.col("item_bias") - F.col("user_bias")).cast("float").alias("rating"),
     )
-    ratings, users, items = with_dense_ids(residual)
-    model = _als(ratings, settings, coldStartStrategy="nan").fit(
-        ratings.select("user", "item", "rating")
-    )
+    data = numbered_ratings(residual)
+    model = _als(data.ratings, settings, coldStartStrategy="nan").fit(data.ratings)
 
     rows = history_items(tx, start, end, candidates)
-    rows = join_totals(rows, users.join(user_bias, "customer_id"), ["customer_id"])
-    rows = join_totals(rows, items.join(item_bias, "article_id"), ["article_id"])
+    rows = join_totals(rows, data.users.join(user_bias, "customer_id"), ["customer_id"])
+    rows = join_totals(rows, data.items.join(item_bias, "article_id"), ["article_id"])
     scored = model.transform(rows).withColumn(
         "predicted",
         mean + F.col("item_bias") + F.col("user_bias") + F.nanvl("prediction", F.lit(0.0)),

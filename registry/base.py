@@ -12,10 +12,13 @@ QueryFunction = Callable[[SparkSession, str], DataFrame]
 class Registry:
     def __init__(self) -> None:
         self.queries: dict[str, QueryFunction] = {}
-        self.sql: dict[str, str] = {}
+        self.sql: dict[str, str | Callable[[], str | None]] = {}
 
-    def query(self, name: str, sql: str | None = None):
-        """Register a function ``(spark, sf_dir) -> DataFrame`` under ``name``."""
+    def query(self, name: str, sql: str | Callable[[], str | None] | None = None):
+        """Register a function ``(spark, sf_dir) -> DataFrame`` under ``name``.
+
+        ``sql`` is the text to compare with, or a function that makes it when asked.
+        """
 
         def add(function: QueryFunction) -> QueryFunction:
             if name in self.queries:

@@ -11,4 +11,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(REGISTRY.sql)
+    made = {name: sql() if callable(sql) else sql for name, sql in REGISTRY.sql.items()}
+    return {name: sql for name, sql in made.items() if sql is not None}

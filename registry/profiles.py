@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import date_parts
+from basketry.functions.text import tokens
 from basketry.operators import profile
 from registry.base import query
 from registry.fixtures import clicks, clicks_sql, documents, retail, retail_sql
@@ -166,7 +168,20 @@ query("top_unigrams", _ngrams_sql(1))(_top_ngrams(1))
 query("top_trigrams", _ngrams_sql(3))(_top_ngrams(3))
 
 
-@query("top_ngrams_no_stop_words")
+def _no_stop_words_sql() -> str | None:
+    """Spark's own English list, so there is no SQL before a session has started."""
+    if SparkSession.getActiveSession() is None:
+        return None
+    stop = ", ".join("'" + word.replace("'", "''") + "'" for word in profile.english_stop_words())
+    return f"""WITH {WORDS_SQL.strip()},
+spread AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM words),
+kept AS (SELECT doc_id, list(word ORDER BY place) AS w FROM spread WHERE word NOT IN ({stop}) GROUP BY 1),
+grams AS (SELECT w[i] || ' ' || w[i + 1] AS ngram FROM (
+  SELECT w, unnest(range(1, len(w))) AS i FROM kept WHERE len(w) >= 2))
+SELECT ngram, count(*) AS n FROM grams GROUP BY 1 ORDER BY n DESC, ngram LIMIT 20"""
+
+
+@query("top_ngrams_no_stop_words", _no_stop_words_sql)
 def top_ngrams_no_stop_words(spark, sf_dir):
     return profile.top_ngrams(
         documents(spark, sf_dir), "text", 2, stop_words=profile.english_stop_words()
@@ -188,8 +203,6 @@ def word_frequencies(spark, sf_dir):
       SELECT lang, unnest(regexp_extract_all(lower(text), '\S+')) AS word FROM documents) GROUP BY 1, 2""",
 )
 def word_frequencies_by_lang(spark, sf_dir):
-    from basketry.functions.text import tokens
-
     docs = documents(spark, sf_dir)
     words = docs.select("lang", F.explode(tokens("text", lower=True)).alias("word"))
     return words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))

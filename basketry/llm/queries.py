@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, chat, decontaminate, html_extract, quality, secrets, topk, toxicity
+from basketry.llm import bpe, chat, decontaminate, html_extract, jaccard_join, quality, secrets, topk, toxicity
 from basketry.llm.storage import Scratch, cut
 
 
@@ -42,6 +42,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.classes(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     found = secrets.find(docs, keep=["doc_id"])
@@ -145,7 +150,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_quality, op4_secrets, op5_topk, op6_chat, op7_byte_bpe, op8_html, op10_decontaminate)
+    for f in (op1_toxicity, op2_quality, op3_jaccard_join, op4_secrets, op5_topk, op6_chat, op7_byte_bpe, op8_html, op10_decontaminate)
 }
 
 SQL: dict[str, str] = {"op5_topk": OP5_SQL, "op6_chat": OP6_SQL}

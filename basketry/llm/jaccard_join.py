@@ -332,16 +332,17 @@ def classes(
     keep: list[str] | None = None,
     scratch: Scratch | None = None,
 ) -> DataFrame:
-    """Columns ``keep`` (default: the id), ``n_shingles``, ``component_id`` and ``set_id``.
+    """Columns ``keep`` (default: the id), ``n_shingles``, ``component_id`` and ``class_id``.
 
     ``component_id`` is the smallest id that links reach; null ids are never
-    smallest, so it is null only where all reached ids are. A text without words is
-    linked with nothing: its component is its own id. Repeated rows are copies.
-    N-grams and sets are known by 64-bit hashes.
+    smallest, so it is null only where all reached ids are. ``class_id`` is the same
+    for all linked texts, whatever their ids. A text without words is linked with
+    nothing: its component is its own id and its class null. Repeated rows are
+    copies. N-grams and sets are known by 64-bit hashes.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
-    kept = [c for c in dict.fromkeys([id_column, *(keep or [])]) if c.lower() not in {"n_shingles", "component_id", "set_id", "prefix"}]
+    kept = [c for c in dict.fromkeys([id_column, *(keep or [])]) if c.lower() not in {"n_shingles", "component_id", "class_id", "set_id", "prefix"}]
     order = Order(*_order(frequent(docs, text, scratch, words)))
     described = scratch.cut(describe(docs, text, order, kept, words, numerator))
     # index lists of more than one set
@@ -375,7 +376,24 @@ def classes(
     least = described.where("set_id is not null").groupBy("set_id").agg(F.min(id_column).alias("__least"))
     classes_ = least.join(roots, F.col("set_id") == F.col("node"), "left").select("set_id", F.coalesce("root", "set_id").alias("__root"), "__least")
     best = classes_.groupBy("__root").agg(F.min("__least").alias("__first"))
-    named = classes_.join(best, "__root").select(F.col("set_id").alias("__set"), "__first")
+    named = classes_.join(best, "__root").select(F.col("set_id").alias("__set"), "__root", "__first")
     out = described.join(named, F.col("set_id") == F.col("__set"), "left")
     component = F.when(F.col("set_id").isNull(), F.col(f"`{id_column}`")).otherwise(F.col("__first"))
-    return out.select(*[F.col(f"`{c}`") for c in kept], "n_shingles", component.alias("component_id"), "set_id")
+    return out.select(*[F.col(f"`{c}`") for c in kept], "n_shingles", component.alias("component_id"), F.col("__root").alias("class_id"))
+
+
+def first_of_class(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of each class of linked texts, with its own columns: the one of the smallest id.
+
+    Null ids come last, ties are broken by a hash of id and text. Of rows with the
+    same id and text one stays. Texts without words all stay.
+    """
+    key = F.xxhash64(F.col(f"`{id_column}`").cast("string"), F.col(f"`{text}`"))
+    own = docs.columns
+    keyed = docs.withColumn("__key", key)
+    worded = F.coalesce(F.col(f"`{text}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    narrow = keyed.select(F.col(f"`{id_column}`").alias("__id"), F.col(f"`{text}`").alias("__text"), "__key")
+    found = classes(narrow, "__id", "__text", keep=["__key"], **options).where("class_id is not null")
+    first = found.groupBy("class_id").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__key")).alias("f")).select(F.col("f.__key").alias("__key"))
+    chosen = keyed.where(worded).join(first, "__key", "left_semi").dropDuplicates(["__key"])
+    return chosen.unionByName(keyed.where(~worded)).select(*[F.col(f"`{c}`") for c in own])

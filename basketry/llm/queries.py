@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, chat, decontaminate, html_extract, jaccard_join, quality, secrets, topk, toxicity
+from basketry.llm import bpe, chat, decontaminate, html_extract, jaccard_join, line_dedup, quality, secrets, topk, toxicity
 from basketry.llm.storage import Scratch, cut
 
 
@@ -135,6 +135,11 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicate(docs).select("doc_id", "n_lines", "n_kept", "text")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = decontaminate.find(docs, read(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -150,7 +155,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_quality, op3_jaccard_join, op4_secrets, op5_topk, op6_chat, op7_byte_bpe, op8_html, op10_decontaminate)
+    for f in (op1_toxicity, op2_quality, op3_jaccard_join, op4_secrets, op5_topk, op6_chat, op7_byte_bpe, op8_html, op9_line_dedup, op10_decontaminate)
 }
 
 SQL: dict[str, str] = {"op5_topk": OP5_SQL, "op6_chat": OP6_SQL}

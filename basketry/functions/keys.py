@@ -35,7 +35,8 @@ def article_label(article_number: ColumnOrName) -> Column:
 
 def product_code(article_id: ColumnOrName, variants: int = 1000) -> Column:
     """Number shared by the colour variants of one product."""
-    return F.floor(_col(article_id).cast("bigint") / F.lit(variants)).cast("bigint")
+    number = _col(article_id).cast("bigint")
+    return F.call_function("div", number - F.pmod(number, F.lit(variants)), F.lit(variants))
 
 
 def null_default(c: ColumnOrName, default) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from basketry.functions.keys import LIST_LENGTH, ids_to_string
 from basketry.functions.lists import list_fill
 from basketry.operators.popularity import SCORE_DIGITS
-from basketry.operators.skew import attach_segment_list, top_per_group
+from basketry.operators.skew import attach_segment_list, join_keys, top_per_group
 
 
 def _ordered(order: str | list[str], item: str = "article_id") -> Column:
@@ -116,7 +116,7 @@ def blend(
 def prune(ranked: DataFrame, allowed: DataFrame, k: int = LIST_LENGTH) -> DataFrame:
     """First ``k`` different items of each list that are in ``allowed``."""
     first = ranked.groupBy("customer_id", "article_id").agg(F.min("rank").alias("_old"))
-    kept = first.join(allowed.select("article_id").distinct(), "article_id", "left_semi")
+    kept = join_keys(first, allowed, ["article_id"])
     return top_per_group(kept, ["customer_id"], [F.asc("_old")], k).select(
         "customer_id", "rank", "article_id"
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import DECAYS, DateLike, as_date, day_diff, week_bucket
@@ -14,10 +14,19 @@ from basketry.operators.windows import date_window, trailing_window
 AGE_EDGES = [-1, 19, 29, 39, 49, 59, 69, 119]
 
 # Sums of float weights differ in the last digits with the order of the rows, so
-# scores are rounded before they are ranked.
+# scores are rounded before they are ranked. Exponential weights get smaller than
+# any fixed number of decimals, so their sums keep that many significant digits.
 SCORE_DIGITS = 9
 
 
+def rounded_score(total: Column, decay: str) -> Column:
+    """A sum of decay weights without the digits that depend on the order of its terms."""
+    if decay != "exp":
+        return F.round(total, SCORE_DIGITS)
+    scale = F.pow(F.lit(10.0), F.lit(SCORE_DIGITS - 1) - F.floor(F.log10(total)))
+    return F.when(total > 0, F.round(total * scale, 0) / scale).otherwise(total)
+
+
 def distinct_buyers(tx: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct customers per article."""
     count = F.approx_count_distinct if approximate else F.count_distinct
@@ -56,7 +65,7 @@ def weighted_popularity(
     daily = tx.groupBy(*by, "article_id", "t_dat").agg(F.count(F.lit(1)).alias("n"))
     weight = F.col("n") * DECAYS[decay](day_diff(ref, "t_dat"))
     return daily.groupBy(*by, "article_id").agg(
-        F.round(F.sum(weight), SCORE_DIGITS).alias("score")
+        rounded_score(F.sum(weight), decay).alias("score")
     )
 
 
@@ -73,7 +82,7 @@ def top_k_global(counts: DataFrame, k: int = LIST_LENGTH) -> DataFrame:
 
 def ranked(short: DataFrame, order: list[Column]) -> DataFrame:
     """Rank column for a table that a limit has already cut to a few rows."""
-    return top_per_group(short.withColumn("_all", F.lit(1)), ["_all"], order, 1000).drop("_all")
+    return short.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def popular_items(

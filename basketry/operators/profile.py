@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+from math import isfinite
+
 from pyspark.ml.feature import Bucketizer, StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.text import char_count, ngrams, tokens, word_count
+from basketry.operators.skew import join_keys
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
+def _number(column: str):
+    """The column as a double; NaN counts as missing, infinite values count as numbers."""
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """``column, nulls`` for every column, in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
@@ -54,9 +63,9 @@ def histogram(df: DataFrame, column: str, width: float, low: float = 0.0) -> Dat
 def _bin_edges(df: DataFrame, columns: list[str], bins: int) -> dict[str, list[float]]:
     """Approximate quantiles of all columns in one pass; at most ``bins`` numbers per column."""
     fractions = [i / bins for i in range(1, bins)]
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    doubles = df.select(*[_number(c).alias(c) for c in columns])
     found = doubles.approxQuantile(columns, fractions, 1.0 / bins)
-    return {c: sorted(set(edges)) for c, edges in zip(columns, found)}
+    return {c: sorted(e for e in set(edges) if isfinite(e)) for c, edges in zip(columns, found)}
 
 
 def quantiles(
@@ -73,10 +82,13 @@ def quantiles(
     and no aggregation buffer holds all values.
     """
     cuts = _bin_edges(df, [column], bins)[column] if edges is None else edges
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    values = df.select(_number(column).alias("v")).where(F.col("v").isNotNull())
     splits = [float("-inf"), *cuts, float("inf")]
     counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    binned = Bucketizer(splits=splits, inputCol="v", outputCol="bin").transform(counted)
+    if cuts:
+        binned = Bucketizer(splits=splits, inputCol="v", outputCol="bin").transform(counted)
+    else:  # no finite value in sight: one bin
+        binned = counted.withColumn("bin", F.lit(0.0))
     sizes = binned.groupBy("bin").agg(F.sum("n").alias("size"))
     running = Window.orderBy("bin")  # at most bins + 1 rows
     placed = sizes.select(
@@ -123,11 +135,14 @@ def _quartiles(df: DataFrame, column: str, bins: int, edges: list[float] | None
 
 
 def describe(df: DataFrame, columns: list[str], bins: int = 1000) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
+    """Count, mean, sample deviation, minimum, quartiles and maximum per column.
+
+    Nulls and NaN are left out; a column without numbers has count 0 and nulls.
+    """
     edges = _bin_edges(df, columns, bins)
     basic, rows = [], []
     for column in columns:
-        c = F.col(column).cast("double")
+        c = _number(column)
         basic += [
             F.struct(
                 F.count(c).alias("count"),
@@ -162,8 +177,7 @@ def box_stats(df: DataFrame, column: str, bins: int = 1000) -> DataFrame:
             (F.col("q3") + 1.5 * spread).alias("high"),
         ).alias("box")
     ).scalar()
-    value = F.col(column).cast("double")
-    rows = df.select(value.alias("v"), fences.alias("box")).where(F.col("v").isNotNull())
+    rows = df.select(_number(column).alias("v"), fences.alias("box")).where(F.col("v").isNotNull())
     within = F.col("v").between(F.col("box.low"), F.col("box.high"))
     return rows.agg(
         *[F.round(F.max(F.col(f"box.{q}")), 6).alias(q) for q in ("q1", "q2", "q3")],
@@ -196,7 +210,7 @@ def key_overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Different keys of ``left`` that ``right`` does not have."""
-    return left.select(key).distinct().join(right.select(key), key, "left_anti")
+    return join_keys(left.select(key).distinct(), right, [key], "left_anti")
 
 
 def english_stop_words() -> list[str]:

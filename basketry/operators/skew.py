@@ -14,7 +14,8 @@ def join_totals(
     Joined on the keys alone, the aggregate is already partitioned for the join
     and has no exchange of its own, and adaptive execution splits a hot
     partition only between two exchanges. The hash of the keys as one more join
-    column gives the small side that exchange; the result is the same.
+    column gives the small side that exchange; the result is the same. This needs
+    ``spark.sql.requireAllClusterKeysForCoPartition`` at its default, true.
     """
     spread = F.xxhash64(*keys)
     return (
@@ -24,13 +25,24 @@ def join_totals(
     )
 
 
+def join_keys(rows: DataFrame, keys_of: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """``rows`` whose keys ``keys_of`` has (``left_semi``) or lacks (``left_anti``).
+
+    The right side is reduced to its different keys before it is shuffled, and a
+    hot key of ``rows`` is split as in ``join_totals``.
+    """
+    return join_totals(rows, keys_of.select(*keys).distinct(), keys, how)
+
+
 def top_per_group(
     rows: DataFrame, group: list[str], order: list[Column], k: int, name: str = "rank"
 ) -> DataFrame:
     """First ``k`` rows of each group with their 1-based rank.
 
     The filter on the rank lets Spark cut every group to ``k`` rows on the map
-    side, so a hot group sends at most ``k`` rows per task.
+    side, so a hot group sends at most ``k`` rows per task. Spark does so for ``k``
+    up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default); use
+    ``positions`` for longer lists of hot groups.
     """
     w = Window.partitionBy(*group).orderBy(*order)
     return rows.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import DateLike, as_date, day_diff, in_window, window_number
-from basketry.operators.skew import join_totals
+from basketry.operators.skew import join_keys, join_totals
 
 WindowList = list[tuple[DateLike, DateLike]]
 
@@ -69,7 +69,7 @@ def sold_articles(tx: DataFrame, last: DateLike, days: int) -> DataFrame:
 
 
 def sold_recently(rows: DataFrame, tx: DataFrame, last: DateLike, days: int) -> DataFrame:
-    return rows.join(sold_articles(tx, last, days), "article_id", "left_semi")
+    return join_keys(rows, trailing_window(tx, last, days), ["article_id"])
 
 
 def temporal_split(tx: DataFrame, cut: DateLike) -> tuple[DataFrame, DataFrame]:

@@ -28,7 +28,7 @@ from basketry.operators.history import (
 )
 from basketry.operators.popularity import popular_items
 from basketry.operators.related import alternates, variant_items
-from basketry.operators.skew import join_totals, top_per_group
+from basketry.operators.skew import attach_segment_list, join_totals, top_per_group
 from basketry.operators.trend import trend_items, trend_popular
 from basketry.operators.windows import (
     WindowList,
@@ -235,8 +235,8 @@ def stacked_alternates(
     )
 
 
-# Not a channel id: the list over all channels.
-ALL_CHANNELS = 0
+# The sales channels that have a list of their own.
+CHANNELS = (1, 2)
 
 
 def channel_fill(
@@ -247,35 +247,36 @@ def channel_fill(
     popular_windows: int = 2,
     k: int = LIST_LENGTH,
     dedup: bool = False,
+    channels: tuple[int, ...] = CHANNELS,
     **options,
 ) -> DataFrame:
     """Stacked history with alternates, then the popular articles of the customer's channel.
 
-    The lowest channel the customer has a row in, else all channels.
+    The lowest of ``channels`` the customer has a row in; customers of none of
+    them get the popular articles of all rows, whatever their channel.
     """
     own = to_lists(
         stacked_alternate_items(tx, articles, windows, k=k, dedup=dedup, **options), k=k
     )
     start, end = windows[popular_windows - 1][0], windows[0][1]
     size = 2 * k if dedup else k
-    # Key 0 counts every row, so that all lists come from one pass over the window.
-    keyed = tx.withColumn(
-        "fill_key", F.explode(F.array(F.lit(ALL_CHANNELS), F.col("sales_channel_id")))
-    )
-    lists = list_map_literal(
-        popular_items(keyed, start, end, k=size, by="fill_key"), "fill_key", size
-    )
+    known = tx.where(F.col("sales_channel_id").isin(*channels))
+    lists = to_lists(
+        popular_items(known, start, end, k=size, by="sales_channel_id"), "sales_channel_id", size, "fill"
+    ).withColumnRenamed("sales_channel_id", "channel")
     channel = (
-        tx.where(in_window("t_dat", start, end))
+        known.where(in_window("t_dat", start, end))
         .groupBy("customer_id")
         .agg(F.min("sales_channel_id").alias("channel"))
     )
-    fill = F.element_at(lists, F.coalesce("channel", F.lit(ALL_CHANNELS)))
-    return (
+    rows = (
         population.select("customer_id")
         .join(own, "customer_id", "left")
         .join(channel, "customer_id", "left")
-        .select("customer_id", list_fill("items", fill, k, dedup).alias("items"))
+    )
+    fill = F.coalesce("fill", popular_literal(tx, start, end, size, dedup=False))
+    return attach_segment_list(rows, lists, "channel", len(channels)).select(
+        "customer_id", list_fill("items", fill, k, dedup).alias("items")
     )
 
 

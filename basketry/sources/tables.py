@@ -13,28 +13,48 @@ from pyspark.sql import types as T
 from basketry.sources import schema
 
 
-def _aligned_csv(spark: SparkSession, path: str, wanted: T.StructType) -> DataFrame:
-    """Typed columns by header name, whatever their order in the file.
-
-    Only the header line is read here. Columns that the schema does not name are
-    left out; columns that the file lacks come back as nulls.
+def _aligned_csv(
+    spark: SparkSession,
+    path: str,
+    wanted: T.StructType,
+    required: tuple[str, ...],
+    corrupt_column: str | None = None,
+) -> DataFrame:
+    """Typed columns by header name, whatever their order in the files.
+
+    Only a header line is read here. All files must have the same header; one
+    with another order of columns fails when it is read. Columns that the schema
+    does not name follow as strings, optional columns that the files lack come
+    back as nulls, and a lacking required one is an error. A value that does not
+    fit its type fails the job, or, with ``corrupt_column``, leaves the line in
+    that column and nulls in the others.
     """
     header = spark.read.option("header", True).csv(path).columns
+    lacking = [name for name in required if name not in header]
+    if lacking:
+        raise ValueError(f"{path} has no column {', '.join(lacking)}")
     types = {field.name: field.dataType for field in wanted}
-    layout = T.StructType(
-        [T.StructField(name, types.get(name, T.StringType())) for name in header]
-    )
-    rows = spark.read.schema(layout).option("header", True).csv(path)
-    return rows.select(
-        [
-            F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in wanted
-        ]
-    )
+    layout = [T.StructField(name, types.get(name, T.StringType())) for name in header]
+    reader = spark.read.option("header", True)
+    if corrupt_column:
+        layout.append(T.StructField(corrupt_column, T.StringType()))
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
+    else:
+        reader = reader.option("mode", "FAILFAST").option("enforceSchema", False)
+    rows = reader.schema(T.StructType(layout)).csv(path)
+    named = [
+        F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in wanted
+    ]
+    rest = [f.name for f in layout if f.name not in types]
+    return rows.select(*named, *rest)
 
 
 def read_transactions_csv(
-    spark: SparkSession, path: str, partitions: int | None = None
+    spark: SparkSession,
+    path: str,
+    partitions: int | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Purchases from plain or gzipped CSV.
 
@@ -42,21 +62,26 @@ def read_transactions_csv(
     work that follows. Rows are dealt out round robin: no key can make a hot
     partition here.
     """
-    rows = _aligned_csv(spark, path, schema.TRANSACTIONS)
+    keys = ("t_dat", "customer_id", "article_id")
+    rows = _aligned_csv(spark, path, schema.TRANSACTIONS, keys, corrupt_column)
     return rows.repartition(partitions) if partitions else rows
 
 
-def read_customers_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _aligned_csv(spark, path, schema.CUSTOMERS)
+def read_customers_csv(
+    spark: SparkSession, path: str, corrupt_column: str | None = None
+) -> DataFrame:
+    return _aligned_csv(spark, path, schema.CUSTOMERS, ("customer_id",), corrupt_column)
 
 
-def read_articles_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _aligned_csv(spark, path, schema.ARTICLES)
+def read_articles_csv(
+    spark: SparkSession, path: str, corrupt_column: str | None = None
+) -> DataFrame:
+    return _aligned_csv(spark, path, schema.ARTICLES, ("article_id",), corrupt_column)
 
 
 def read_population(spark: SparkSession, path: str) -> DataFrame:
     """Customers who get a prediction."""
-    return _aligned_csv(spark, path, schema.POPULATION).select("customer_id")
+    return _aligned_csv(spark, path, schema.POPULATION, ("customer_id",)).select("customer_id")
 
 
 def spread(rows: DataFrame) -> DataFrame:

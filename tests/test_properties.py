@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from basketry.operators import combine, evaluate, history, popularity, related, windows
+from basketry.operators import combine, evaluate, history, popularity, profile, related, windows
 from basketry.operators.factor import dense_ids
 from basketry.operators.skew import attach_segment_list, join_totals, positions
 from basketry.plans import recommend
@@ -278,3 +278,48 @@ def test_recency_forms_agree(shop):
     assert set(map(tuple, cut.select("customer_id", "rank", "article_id").collect())) == set(
         map(tuple, whole.where("rank <= 5").select("customer_id", "rank", "article_id").collect())
     )
+
+
+def test_rank_has_no_cap(spark):
+    counts = spark.range(2500).select(F.format_string("%05d", "id").alias("article_id"), (F.col("id") % 7).alias("n"))
+    assert popularity.top_k_global(counts, 2000).count() == 2000
+    tx = spark.range(2500).select(
+        F.lit(dt.date(2020, 9, 1)).alias("t_dat"),
+        F.lit("u").alias("customer_id"),
+        F.format_string("%05d", "id").alias("article_id"),
+    )
+    assert popularity.popular_items(tx, "2020-09-01", "2020-09-02", k=2000).count() == 2000
+
+
+def test_exponential_decay_keeps_the_order_of_old_sales(spark, purchases):
+    rows = [("2020-08-01", f"u{i}", "often") for i in range(5)] + [("2020-08-01", "u0", "zz_once")]
+    tx = purchases(rows)
+    for ref in ("2020-09-15", "2021-03-01"):
+        top = popularity.popular_items(tx, "2020-08-01", "2020-08-02", ref=ref, decay="exp").orderBy("rank")
+        assert [r["article_id"] for r in top.collect()] == ["often", "zz_once"]
+
+
+def test_channel_fill_takes_null_and_other_channels(spark, purchases):
+    from basketry.plans import recommend
+
+    day = "2020-09-10"
+    tx = purchases([(day, "a", "x", 1.0, 1), (day, "b", "y", 1.0, 2), (day, "b", "y", 1.0, 2), (day, "c", "z", 1.0, None), (day, "c", "z", 1.0, None), (day, "d", "w", 1.0, 0), (day, "c", "z", 1.0, 0)])
+    articles = spark.createDataFrame([(a, a) for a in "xyzw"], "article_id string, prod_name string")
+    population = spark.createDataFrame([(c,) for c in "abcde"], "customer_id string")
+    windows = [("2020-09-08", "2020-09-15"), ("2020-09-01", "2020-09-08")]
+    got = {r["customer_id"]: r["items"] for r in recommend.channel_fill(tx, articles, population, windows).collect()}
+    assert got["e"] == ["z", "y", "x", "w"] and got["d"][1:] == ["z", "y", "x", "w"]
+    assert got["a"] == ["x", "x"] and got["b"] == ["y", "y"] and got["c"][1:] == ["z", "y", "x", "w"]
+
+
+def test_describe_takes_nan_infinity_and_empty_columns(spark):
+    schema = "a double, b double, c double"
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1.0, nan, None), (inf, 2.0, None), (-inf, 4.0, None), (3.0, None, None)], schema)
+    rows = {r["column"]: r for r in profile.describe(df, ["a", "b", "c"]).collect()}
+    assert rows["a"]["count"] == 4 and rows["a"]["max"] == inf and rows["a"]["q2"] == 2.0
+    assert (rows["b"]["count"], rows["b"]["q2"], rows["b"]["max"]) == (2, 3.0, 4.0)
+    assert rows["c"]["count"] == 0 and rows["c"]["q1"] is None
+    assert profile.describe(df.where("false"), ["a"]).first()["count"] == 0
+    assert profile.box_stats(df, "b").first()["outliers"] == 0
+    assert profile.box_stats(df, "c").first()["q1"] is None

@@ -45,6 +45,32 @@ def test_column_order_of_the_file_does_not_matter(spark, tmp_path):
     assert got == {"aa": (31, None), "bb": (None, None)}
 
 
+def test_other_columns_are_kept(spark, tmp_path):
+    path = tmp_path / "customers.csv"
+    path.write_text("age,extra,customer_id\n31,x,aa\n")
+    assert tables.read_customers_csv(spark, str(path)).first()["extra"] == "x"
+
+
+def test_files_with_other_column_orders_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + LINES)
+    (tmp_path / "b.csv").write_text("t_dat,article_id,customer_id,price,sales_channel_id\n2020-09-01,0108775015,aa,1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_transactions_csv(spark, str(tmp_path)).collect()
+
+
+def test_lacking_columns_and_bad_dates_fail(spark, tmp_path):
+    short = tmp_path / "short.csv"
+    short.write_text("t_dat,customer_id\n2020-09-01,aa\n")
+    with pytest.raises(ValueError, match="article_id"):
+        tables.read_transactions_csv(spark, str(short))
+    bad = tmp_path / "bad.csv"
+    bad.write_text(HEADER + "yesterday,aa,0108775015,0.05,2\n" + LINES)
+    with pytest.raises(Exception, match="yesterday"):
+        tables.read_transactions_csv(spark, str(bad)).collect()
+    kept = tables.read_transactions_csv(spark, str(bad), corrupt_column="line").collect()
+    assert len(kept) == 4 and [r["line"] is None for r in kept].count(False) == 1
+
+
 def test_articles_csv(spark, tmp_path):
     path = tmp_path / "articles.csv"
     path.write_text('article_id,product_code,prod_name,detail_desc\n0108775015,108775,Strap top,"Soft, long"\n')

@@ -78,7 +78,7 @@ def features(norm: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     n = len(norm)
     wide = norm.astype(np.uint64)
     value = wide.copy()
-    for length in range(2, max(GRAMS) + 1):
+    for length in range(2, min(max(GRAMS), n) + 1):
         value = value[: n - length + 1] | (wide[length - 1 :] << np.uint64(8 * (length - 1)))
         if length in GRAMS:
             inner = np.zeros(n - length + 1, dtype=bool)

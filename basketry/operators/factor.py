@@ -225,39 +225,60 @@ def mf_reranked_items(
     k: int = LIST_LENGTH,
     settings: FactorSettings = FactorSettings(rank=64, iterations=10, regularization=0.2),
     ascending: bool = True,
+    model_as_of: tuple[DateLike, DateLike] | None = None,
 ) -> DataFrame:
-    """Each customer's frequent articles re-ranked by predicted feedback.
+    """Each customer's frequent articles of ``[start, end)`` re-ranked by predicted feedback.
 
     Biased matrix factorisation: the global mean and the item and customer biases
     are averages, ALS is fitted to what they leave over, and only the candidate
-    rows are scored. ``ascending`` puts the lowest prediction first.
+    rows are scored. ``ascending`` puts the lowest prediction first. The model is
+    fitted on the window ``model_as_of`` (default: the candidates' own); customers
+    and articles it does not know have no bias and no factors. The biases are
+    written to the checkpoint folder while the plan is made.
     """
-    window = date_window(tx, start, end)
-    feedback = cut_lineage(normalised_feedback(window))
-    mean = feedback.agg(F.avg("feedback")).scalar()
-    centred = feedback.withColumn("_c", F.col("feedback") - mean)
-    item_bias = centred.groupBy("article_id").agg(F.avg("_c").alias("item_bias"))
-    centred = join_totals(centred, item_bias, ["article_id"])
-    user_bias = centred.groupBy("customer_id").agg(
-        F.avg(F.col("_c") - F.col("item_bias")).alias("user_bias")
-    )
-    residual = join_totals(centred, user_bias, ["customer_id"]).select(
-        "customer_id",
-        "article_id",
-        (F.col("_c") - F.col("item_bias") - F.col("user_bias")).cast("float").alias("rating"),
-    )
+    biased = bias_terms(date_window(tx, *(model_as_of or (start, end))))
+    item_bias = biased.select("article_id", "item_bias").distinct()
+    user_bias = biased.select("customer_id", "user_bias").distinct()
+    mean = biased.agg(F.avg("feedback")).scalar()
+    residual = biased.select("customer_id", "article_id", F.col("residual").cast("float").alias("rating"))
     data = numbered_ratings(residual)
     model = _als(data.ratings, settings, coldStartStrategy="nan").fit(data.ratings)
 
     rows = history_items(tx, start, end, candidates)
-    rows = join_totals(rows, data.users.join(user_bias, "customer_id"), ["customer_id"])
-    rows = join_totals(rows, data.items.join(item_bias, "article_id"), ["article_id"])
-    scored = model.transform(rows).withColumn(
+    rows = join_totals(rows, data.users.join(user_bias, "customer_id"), ["customer_id"], "left")
+    rows = join_totals(rows, data.items.join(item_bias, "article_id"), ["article_id"], "left")
+    unknown = {"user": F.coalesce("user", F.lit(-1)), "item": F.coalesce("item", F.lit(-1))}
+    scored = model.transform(rows.withColumns(unknown)).withColumn(
         "predicted",
-        mean + F.col("item_bias") + F.col("user_bias") + F.nanvl("prediction", F.lit(0.0)),
+        mean
+        + F.coalesce("item_bias", F.lit(0.0))
+        + F.coalesce("user_bias", F.lit(0.0))
+        + F.nanvl("prediction", F.lit(0.0)),
     )
     by_score = F.asc("predicted") if ascending else F.desc("predicted")
     ranked = scored.select("customer_id", "article_id", "predicted", F.col("rank").alias("_old"))
     return top_per_group(ranked, ["customer_id"], [by_score, F.asc("_old")], k).select(
         "customer_id", "rank", "article_id", "predicted"
     )
+
+
+def bias_terms(window: DataFrame) -> DataFrame:
+    """Feedback per (customer, article) with ``item_bias``, ``user_bias`` and the ``residual``, computed once.
+
+    The item bias is the mean of what is over the global mean, the user bias the
+    mean of what is over that and the item bias.
+    """
+    feedback = cut_lineage(normalised_feedback(window))
+    mean = feedback.agg(F.avg("feedback")).scalar()
+    centred = feedback.withColumn("_c", F.col("feedback") - mean)
+    item_bias = centred.groupBy("article_id").agg(F.avg("_c").alias("item_bias"))
+    centred = join_totals(centred, item_bias, ["article_id"])
+    user_bias = centred.groupBy("customer_id").agg(
+        F.avg(F.col("_c") - F.col("item_bias")).alias("user_bias")
+    )
+    residual = F.col("_c") - F.col("item_bias") - F.col("user_bias")
+    return cut_lineage(
+        join_totals(centred, user_bias, ["customer_id"]).select(
+            "customer_id", "article_id", "feedback", "item_bias", "user_bias", residual.alias("residual")
+        )
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry import evaluation, profiles, recommenders, relational, scalar  # noqa: F401
+from registry import evaluation, files, profiles, recommenders, relational, scalar  # noqa: F401
 from registry.base import REGISTRY
 
 

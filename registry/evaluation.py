@@ -176,3 +176,28 @@ def als_validation(spark, sf_dir):
 @query("grid_search")
 def grid_search(spark, sf_dir):
     return factor.grid_search(clicks(spark, sf_dir).tx, CLICKS_REF, SMALL_GRID)
+
+
+@query(
+    "als_validation_properties",
+    clicks_sql(f"SELECT count(DISTINCT customer_id) AS customers, TRUE AS in_range FROM tx WHERE t_dat >= DATE '{CLICKS_REF}'"),
+)
+def als_validation_properties(spark, sf_dir):
+    found = factor.als_validation(clicks(spark, sf_dir).tx, CLICKS_REF, SMALL_FACTORS)
+    return found.select("customers", F.col("map").between(0, 1).alias("in_range"))
+
+
+@query(
+    "grid_search_properties",
+    "SELECT unnest([8, 16, 16]) AS factors, unnest([3, 3, 8]) AS iterations, 1 AS n_best, TRUE AS best_is_largest FROM (SELECT count(*) FROM events)",
+)
+def grid_search_properties(spark, sf_dir):
+    """All settings of the grid, one best, and that it has the largest score."""
+    grid = factor.grid_search(clicks(spark, sf_dir).tx, CLICKS_REF, SMALL_GRID)
+    total = grid.agg(F.sum(F.col("best").cast("int")).cast("int").alias("n_best"), F.max("map").alias("top"), F.max(F.when(F.col("best"), F.col("map"))).alias("of_best"))
+    return grid.select(
+        "factors",
+        "iterations",
+        total.select("n_best").scalar().alias("n_best"),
+        total.select(F.col("top") == F.col("of_best")).scalar().alias("best_is_largest"),
+    )

@@ -8,36 +8,49 @@ from pyspark.sql import functions as F
 from basketry.functions.dates import date_parts
 from basketry.functions.text import tokens
 from basketry.operators import profile
+from basketry.operators.star import star_join
 from registry.base import query
 from registry.fixtures import clicks, clicks_sql, documents, retail, retail_sql
 
-RETAIL_COLUMNS = ["t_dat", "customer_id", "article_id", "price", "age", "prod_name"]
+TABLE_COLUMNS = {
+    "tx": ["t_dat", "customer_id", "article_id", "price", "sales_channel_id"],
+    "customers": ["customer_id", "age", "club_member_status"],
+    "articles": ["article_id", "prod_name", "product_code", "product_group_name"],
+}
+STAR_COLUMNS = list(dict.fromkeys(c for columns in TABLE_COLUMNS.values() for c in columns))
 
 
-def _star(spark, sf_dir):
-    shop = retail(spark, sf_dir)
-    return (
-        shop.tx.join(shop.customers, "customer_id", "left")
-        .join(shop.articles, "article_id", "left")
-        .select(RETAIL_COLUMNS)
+def _nulls_sql(source: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM {source}"
+        for c in columns
     )
 
 
 @query(
     "null_counts",
     retail_sql(
-        """star AS (SELECT t.t_dat, t.customer_id, t.article_id, t.price, c.age, a.prod_name
+        """star AS (SELECT t.*, c.* EXCLUDE (customer_id), a.* EXCLUDE (article_id)
            FROM tx t LEFT JOIN customers c ON c.customer_id = t.customer_id
            LEFT JOIN articles a ON a.article_id = t.article_id)
         """
-        + " UNION ALL ".join(
-            f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM star"
-            for c in RETAIL_COLUMNS
-        )
+        + _nulls_sql("star", STAR_COLUMNS)
     ),
 )
 def null_counts(spark, sf_dir):
-    return profile.null_counts(_star(spark, sf_dir))
+    shop = retail(spark, sf_dir)
+    return profile.null_counts(star_join(shop.tx, shop.customers, shop.articles))
+
+
+def _table_nulls(name):
+    def run(spark, sf_dir):
+        return profile.null_counts(getattr(retail(spark, sf_dir), name))
+
+    return run
+
+
+for _name, _columns in TABLE_COLUMNS.items():
+    query(f"null_counts_{_name}", retail_sql(_nulls_sql(_name, _columns)))(_table_nulls(_name))
 
 
 CATALOGUE_COLUMNS = ["article_id", "prod_name", "product_code", "product_group_name"]

@@ -559,6 +559,84 @@ def lowest_prediction_first(spark, sf_dir):
     )
 
 
+# What SQL can say of the factor models: their exact parts, and what must hold of each list.
+
+TRAIN_SQL = f"train AS (SELECT customer_id, article_id, count(*) AS n FROM tx WHERE {f.window(W2[0], W1[1])} GROUP BY 1, 2)"
+
+
+@query(
+    "mf_bias_terms",
+    clicks_sql(
+        TRAIN_SQL
+        + """, fed AS (
+  SELECT customer_id, article_id, n / (sum(n) OVER (PARTITION BY article_id) * sum(n) OVER (PARTITION BY customer_id))::DOUBLE AS x FROM train),
+centred AS (SELECT *, x - (SELECT avg(x) FROM fed) AS c FROM fed),
+items AS (SELECT *, avg(c) OVER (PARTITION BY article_id) AS item_bias FROM centred),
+users AS (SELECT *, avg(c - item_bias) OVER (PARTITION BY customer_id) AS user_bias FROM items)
+SELECT customer_id, article_id, round(x, 9) AS feedback, round(item_bias, 9) AS item_bias,
+       round(user_bias, 9) AS user_bias, round(c - item_bias - user_bias, 9) AS residual FROM users"""
+    ),
+)
+def mf_bias_terms(spark, sf_dir):
+    terms = factor.bias_terms(windows.date_window(clicks(spark, sf_dir).tx, W2[0], W1[1]))
+    numbers = ["feedback", "item_bias", "user_bias", "residual"]
+    return terms.select("customer_id", "article_id", *[F.round(c, 9).alias(c) for c in numbers])
+
+
+@query(
+    "mf_rerank_sets",
+    clicks_sql(
+        TRAIN_SQL
+        + """ SELECT customer_id, string_agg(article_id, ' ' ORDER BY article_id) AS articles
+        FROM train GROUP BY 1 HAVING count(*) <= 12"""
+    ),
+)
+def mf_rerank_sets(spark, sf_dir):
+    """Customers of at most 12 articles get all of them, in whatever order."""
+    tx = clicks(spark, sf_dir).tx
+    ranked = factor.mf_reranked_items(tx, W2[0], W1[1], settings=SMALL_RERANK)
+    few = windows.date_window(tx, W2[0], W1[1]).groupBy("customer_id").agg(F.count_distinct("article_id").alias("n"))
+    sets = ranked.groupBy("customer_id").agg(F.array_join(F.sort_array(F.collect_list("article_id")), " ").alias("articles"))
+    return sets.join(few.where("n <= 12"), "customer_id").select("customer_id", "articles")
+
+
+@query(
+    "lowest_prediction_order",
+    clicks_sql(
+        TRAIN_SQL + " SELECT customer_id, least(count(*), 12) AS n, TRUE AS rising FROM train GROUP BY 1"
+    ),
+)
+def lowest_prediction_order(spark, sf_dir):
+    """Predictions rise with the rank, also if the model is of an earlier window."""
+    tx = clicks(spark, sf_dir).tx
+    ranked = factor.mf_reranked_items(tx, W2[0], W1[1], settings=SMALL_RERANK, model_as_of=(W4[0], W2[0]))
+    by_rank = F.transform(F.array_sort(F.collect_list(F.struct("rank", "predicted"))), lambda p: p["predicted"])
+    return ranked.groupBy("customer_id").agg(
+        F.count("*").alias("n"), (by_rank == F.array_sort(F.collect_list("predicted"))).alias("rising")
+    )
+
+
+@query(
+    "als_list_properties",
+    clicks_sql(
+        f"""catalogue AS (SELECT DISTINCT article_id FROM tx WHERE {f.window(W4[0], W1[1])})
+        SELECT customer_id, least(12, (SELECT count(*) FROM catalogue)) AS n,
+               least(12, (SELECT count(*) FROM catalogue)) AS different,
+               least(12, (SELECT count(*) FROM catalogue)) AS known FROM population"""
+    ),
+)
+def als_list_properties(spark, sf_dir):
+    """Everyone gets twelve different articles that were sold in the training window."""
+    shop = clicks(spark, sf_dir)
+    train = windows.date_window(shop.tx, W4[0], W1[1])
+    lists = recommend.als(train, shop.population, SMALL_FACTORS)
+    items = lists.select("customer_id", F.explode("items").alias("article_id"))
+    sold = train.select("article_id", F.lit(1).alias("sold")).distinct()
+    return items.join(sold, "article_id", "left").groupBy("customer_id").agg(
+        F.count("*").alias("n"), F.count_distinct("article_id").alias("different"), F.count("sold").alias("known")
+    )
+
+
 def _blend_sql(segments: list[tuple[str, str, str]]) -> str:
     """Blend of purchases, variants and the (CTEs, groups, items) of each segment list."""
     parts = [

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from basketry.functions import keys
 from basketry.functions.dates import window_number
 from basketry.functions.keys import ids_to_string
 from basketry.functions.lists import or_empty
-from basketry.operators import combine, history, popularity, profile, related, trend, windows
+from basketry.operators import combine, history, popularity, profile, related, star, trend, windows
 from basketry.operators.factor import normalised_feedback
 from basketry.operators.skew import join_totals, top_per_group
 from basketry.operators.trend import customer_article_score
@@ -41,21 +43,14 @@ Q1, Q2, Q3, Q4, Q5 = RETAIL_WINDOWS
     "star_join",
     retail_sql(
         """SELECT t.t_dat, t.customer_id, t.article_id, t.price, t.sales_channel_id,
-           c.age, c.club_member_status, a.prod_name, a.product_code
+           c.age, c.club_member_status, a.prod_name, a.product_code, a.product_group_name
            FROM tx t LEFT JOIN customers c ON c.customer_id = t.customer_id
            LEFT JOIN articles a ON a.article_id = t.article_id"""
     ),
 )
 def star_join(spark, sf_dir):
     shop = retail(spark, sf_dir)
-    return (
-        shop.tx.join(shop.customers, "customer_id", "left")
-        .join(shop.articles.drop("product_group_name"), "article_id", "left")
-        .select(
-            "t_dat", "customer_id", "article_id", "price", "sales_channel_id",
-            "age", "club_member_status", "prod_name", "product_code",
-        )
-    )
+    return star.star_join(shop.tx, shop.customers, shop.articles)
 
 
 WEEKLY_SQL = f"""
@@ -311,6 +306,26 @@ def items_per_customer(spark, sf_dir):
     return history.items_per_customer(clicks(spark, sf_dir).tx)
 
 
+EXP_REF = W1[1] + dt.timedelta(days=30)
+
+
+@query(
+    "weighted_popularity_exp",
+    clicks_sql(
+        f"""sums AS (SELECT article_id, sum(exp(-CAST(DATE '{EXP_REF}' - t_dat AS DOUBLE))) AS s
+             FROM tx WHERE {f.window(W2[0], W1[1])} GROUP BY 1),
+        scored AS (SELECT article_id, round(s * pow(10.0::DOUBLE, 8 - floor(log10(s)))) / pow(10.0::DOUBLE, 8 - floor(log10(s))) AS score FROM sums)
+        SELECT article_id, CAST(row_number() OVER (ORDER BY score DESC, article_id DESC) AS INTEGER) AS rank
+        FROM scored QUALIFY rank <= 50"""
+    ),
+)
+def weighted_popularity_exp(spark, sf_dir):
+    """The last sale is 30 days back: weights are too small for a fixed number of decimals."""
+    tx = clicks(spark, sf_dir).tx
+    top = popularity.popular_items(tx, W2[0], W1[1], EXP_REF, k=50, decay="exp")
+    return top.select("article_id", "rank")
+
+
 @query(
     "weighted_popularity",
     clicks_sql(

@@ -28,11 +28,14 @@ from basketry.llm import common
 from basketry.llm.components import components
 from basketry.llm.storage import Scratch
 
-GRAM = 5
+GRAM = 8
 BANDS, ROWS = 16, 4
 NUMERATOR = 75
 #: Lines whose texts are needed and whose ids are sent to all tasks (8 bytes each); with more, a join selects them.
 MOST_IDS = 1 << 21
+#: Documents to edit and lines to drop from them that are sent to all tasks (some 100 bytes and 8 bytes each);
+#: with more of either, documents are joined with their lines by a shuffle.
+MOST_EDITED, MOST_DROPPED = 1 << 19, 1 << 22
 #: Code points that one step hashes at a time.
 STEP = 1 << 16
 
@@ -101,9 +104,6 @@ def _pairs_of(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return new, first, before
 
 
-_MIXERS = np.random.default_rng(8).integers(1, 2**63, BANDS, dtype=np.uint64) | np.uint64(1)
-
-
 def candidates(docs: DataFrame, text: str) -> DataFrame:
     """``a``, ``b``: ids of lines to compare, without repetition."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -119,22 +119,19 @@ def candidates(docs: DataFrame, text: str) -> DataFrame:
                 chosen, ids = [lines[i] for i in at], ids[at]
                 keys = signatures(chosen)
                 key = keys.ravel()
-                # in each band lines have another order
-                rank = (common.mix(ids.view(np.uint64))[:, None] * _MIXERS[None, :]).ravel()
                 ids = np.repeat(ids, BANDS)
-                order = np.lexsort((rank, key))
-                key, ids, rank = key[order], ids[order], rank[order]
+                order = np.lexsort((common.mix(key ^ ids.view(np.uint64)), key))  # in each band lines have another order
+                key, ids = key[order], ids[order]
                 new, first, before = _pairs_of(key, ids)
                 local = ~new
-                nothing = np.zeros(local.sum(), dtype=np.int64)
+                anywhere = common.mix(ids[local].view(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate([key[new].view(np.int64), common.mix(ids[local].view(np.uint64)).view(np.int64), common.mix(ids[local].view(np.uint64)).view(np.int64)])),
-                        pa.array(np.concatenate([rank[new].view(np.int64), nothing, nothing])),
+                        pa.array(np.concatenate([key[new].view(np.int64), anywhere, anywhere])),
                         pa.array(np.concatenate([ids[new], ids[local], ids[local]])),
                         pa.array(np.concatenate([np.zeros(new.sum(), np.int64), first[local], before[local]])),
                     ],
-                    names=["key", "rank", "id", "other"],
+                    names=["key", "id", "other"],
                 )
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +139,7 @@ def candidates(docs: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, ids, other = (np.asarray(batch.column(i)) for i in (0, 2, 3))
+            key, ids, other = (np.asarray(batch.column(i)) for i in range(3))
             done = other != 0
             yield pa.RecordBatch.from_arrays([pa.array(ids[done]), pa.array(other[done])], names=["a", "b"])
             key, ids = key[~done], ids[~done]
@@ -157,8 +154,8 @@ def candidates(docs: DataFrame, text: str) -> DataFrame:
                 differ = ~new & (partner != ids)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[differ]), pa.array(partner[differ])], names=["a", "b"])
 
-    rows = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(keyed, "key long, rank long, id long, other long")
-    dealt = rows.repartition(partitions, "key").sortWithinPartitions("key", "rank", "id")
+    rows = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(keyed, "key long, id long, other long")
+    dealt = rows.repartition(partitions, "key").sortWithinPartitions("key", F.xxhash64("key", "id"), "id")
     pairs = dealt.mapInArrow(met, "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
@@ -180,7 +177,8 @@ def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
                 _, at = np.unique(ids, return_index=True)
                 at = at[ids[at] != 0]
                 if known is not None:
-                    at = at[np.isin(ids[at], known)]
+                    place = np.searchsorted(known, ids[at])
+                    at = at[np.append(known, 0)[place] == ids[at]]  # no line's id is 0
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array([lines[i] for i in at], pa.string())], names=["id", "line"])
 
     lines = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(run, "id long, line string")
@@ -231,7 +229,7 @@ def deduplicate(
     lines = scratch.cut(_texts(docs, text, wanted))
     roots = components(scratch.cut(verified(pairs, lines, numerator)), scratch)
     # every occurrence of a line, without its text
-    own = [c for c in docs.columns if c.lower() not in {"n_lines", "n_kept", "__key", "__ids"}]
+    own = [c for c in docs.columns if c.lower() not in {"n_lines", "n_kept", "__key", "__ids", "__drops", "__edited"}]
     source = docs.select(*[F.col(f"`{c}`") for c in own]).withColumn("__key", F.xxhash64(F.col(f"`{id_column}`").cast("string"), F.col(f"`{text}`")))
 
     def ids_of():
@@ -250,8 +248,11 @@ def deduplicate(
     where = F.struct(F.col("doc").isNull().alias("none"), "doc", "key", "place")
     several = places.groupBy("line").agg(F.min(where).alias("first"), F.count("*").alias("n")).where("n > 1").select("line", "first")
     here = places.join(several, "line").where(~where.eqNullSafe(F.col("first")))
-    drops = here.groupBy("key").agg(F.collect_set("place").alias("__drops"))
-    joined = source.join(drops, F.col("__key") == F.col("key"), "left")
+    drops = scratch.cut(here.groupBy(F.col("key").alias("__key")).agg(F.collect_set("place").alias("__drops")))
+    size = drops.agg(F.count("*").alias("documents"), F.sum(F.size("__drops")).alias("lines")).first()
+    if size["documents"] <= MOST_EDITED and (size["lines"] or 0) <= MOST_DROPPED:
+        drops = F.broadcast(drops)
+    joined = source.join(drops, "__key", "left")
     all_lines = F.split(F.col(f"`{text}`"), "\n", -1)
     kept = F.filter(all_lines, lambda line, i: ~F.array_contains("__drops", i))
     n_lines = F.coalesce(F.size(all_lines), F.lit(0))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Bytes of text that one numpy step works on; a longer text is one step of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 #: Function from the texts of a chunk to the values of the new columns.
 TextFunction = Callable[["Texts"], list]

@@ -28,7 +28,7 @@ from basketry.llm import common
 
 #: Bounds of the training sample.
 SAMPLE_ROWS = 2500
-SAMPLE_WINDOWS = 32
+SAMPLE_WINDOWS = 16
 #: Words in a window; windows of a scored text overlap by half.
 WINDOW = 24
 GRAMS = (3, 4, 5)

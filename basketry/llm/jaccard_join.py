@@ -92,15 +92,15 @@ def prefix_size(n: int, numerator: int = NUMERATOR) -> int:
 class Order:
     """The order of n-grams: rare ones by hash, then frequent ones by number of texts."""
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray) -> None:
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, cut: int = 20) -> None:
         order = np.argsort(grams)
-        self.grams, self.counts = grams[order], counts[order]
+        self.grams, self.counts, self.cut = grams[order], counts[order], np.uint64(cut)
 
     def prefix(self, grams: np.ndarray, numerator: int) -> np.ndarray:
         size = prefix_size(len(grams), numerator)
         if not len(self.grams):
             return grams[:size]
-        short = grams >> np.uint64(_CUT)
+        short = grams >> self.cut
         at = np.minimum(np.searchsorted(self.grams, short), len(self.grams) - 1)
         count = np.where(self.grams[at] == short, self.counts[at], 0)
         if not count.any():
@@ -108,16 +108,20 @@ class Order:
         return grams[np.lexsort((grams, count))[:size]]
 
 
-#: Frequent n-grams are known by the first 44 bits of their hash: 12 choose a range, 32 are sent.
-_RANGE_BITS, _CUT = 12, 20
+#: Leading bits of a hash that choose its range. A range is counted by one task in memory, 12 bytes for each of its
+#: different n-grams; more bits make ranges smaller and packed values shorter.
+RANGE_BITS = 12
+#: N-grams that are gathered before they are counted together.
+MERGE = 1 << 20
 
 
-def frequent(docs: DataFrame, text: str, scratch: Scratch, words: int, total: int | None = None) -> DataFrame:
-    """``gram`` (the first 44 bits of its hash) and ``n_texts`` of all n-grams that ``FREQUENT`` texts or more have.
+def frequent(docs: DataFrame, text: str, scratch: Scratch, words: int, bits: int = RANGE_BITS) -> DataFrame:
+    """``gram`` (the first ``bits`` + 32 bits of its hash) and ``n_texts`` of all n-grams that ``FREQUENT`` texts or more have.
 
     Tasks send their n-grams as packed 32-bit numbers, one binary value for each
     range of hashes and chunk of texts; every range is counted by itself.
     """
+    cut = np.uint64(32 - bits)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,7 +129,7 @@ def frequent(docs: DataFrame, text: str, scratch: Scratch, words: int, total: in
             for start, stop in common.chunks(column, 4 * common.CHUNK_BYTES):
                 inner = column.slice(start, stop - start)
                 sets = [s for a, b in common.chunks(inner) for s in shingles(common.Texts(inner.slice(a, b - a)), words)]
-                grams = np.sort(np.concatenate(sets) >> np.uint64(_CUT))
+                grams = np.sort(np.concatenate(sets) >> cut)
                 part = (grams >> np.uint64(32)).astype(np.int32)
                 edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else part
                 values = np.split(grams.astype(np.uint32), edge[1:]) if len(part) else []
@@ -136,11 +140,23 @@ def frequent(docs: DataFrame, text: str, scratch: Scratch, words: int, total: in
 
     def count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        waiting, size = [], 0
+
+        def merge() -> None:
+            nonlocal grams, counts, size
+            new, n = np.unique(np.concatenate([*waiting, np.zeros(0, np.uint32)]), return_counts=True)
+            both, place = np.unique(np.concatenate([grams, new]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, n]), len(both)).astype(np.int64)
+            grams, size = both, 0
+            waiting.clear()
+
         for batch in batches:
             for value in batch.column("grams"):
-                new, n = np.unique(np.frombuffer(value.as_buffer(), dtype=np.uint32), return_counts=True)
-                grams, place = np.unique(np.concatenate([grams, new]), return_inverse=True)
-                counts = np.bincount(place, np.concatenate([counts, n]), len(grams)).astype(np.int64)
+                waiting.append(np.frombuffer(value.as_buffer(), dtype=np.uint32))
+                size += len(waiting[-1])
+                if size > max(MERGE, len(grams)):
+                    merge()
+        merge()
         many = counts >= FREQUENT
         full = (np.uint64(key[0].as_py()) << np.uint64(32)) | grams[many].astype(np.uint64)
         yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int64)), pa.array(counts[many])], names=["gram", "n_texts"])
@@ -343,7 +359,7 @@ def classes(
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     kept = [c for c in dict.fromkeys([id_column, *(keep or [])]) if c.lower() not in {"n_shingles", "component_id", "class_id", "set_id", "prefix"}]
-    order = Order(*_order(frequent(docs, text, scratch, words)))
+    order = Order(*_order(frequent(docs, text, scratch, words)), 32 - RANGE_BITS)
     described = scratch.cut(describe(docs, text, order, kept, words, numerator))
     # index lists of more than one set
     entries = described.where("prefix is not null").select("set_id", "n_shingles", F.explode("prefix").alias("gram"))

@@ -7,6 +7,8 @@ documents at once; a chunk limits how much of it is in memory together.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -103,10 +105,20 @@ def with_text_columns(
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(i).slice(start, stop - start) for i in range(len(kept))] + arrays, names=names
                 )
+        release()
 
     return source.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give memory that a finished task no longer uses back to the system; the worker lives on for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # the C library of Linux has it, others may not
+        trim(0)
+
+
 def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with columns of these names renamed, and the renaming."""
     clash = {c: f"__own_{c}" for c in df.columns if c.lower() in {n.lower() for n in names}}

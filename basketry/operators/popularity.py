@@ -166,11 +166,12 @@ def with_weekly_counts(tx: DataFrame, last: DateLike, days: int = 7) -> DataFram
     target = weekly.where(F.col("week_end") == as_date(last)).select(
         "article_id", F.col("n").alias("n_targ")
     )
-    joined = join_totals(
+    # The two small tables first, so that the rows are shuffled once.
+    counts = join_totals(weekly, target, ["article_id"], "left").withColumn(
+        "n_targ", F.coalesce("n_targ", F.lit(0).cast("bigint"))
+    )
+    return join_totals(
         tx.withColumn("week_end", week_bucket("t_dat", last, days)),
-        weekly,
+        counts,
         ["week_end", "article_id"],
     )
-    return join_totals(joined, target, ["article_id"], "left").withColumn(
-        "n_targ", F.coalesce("n_targ", F.lit(0).cast("bigint"))
-    )

@@ -28,7 +28,7 @@ from basketry.llm import common
 from basketry.llm.components import components
 from basketry.llm.storage import Scratch
 
-GRAM = 8
+GRAM = 5
 BANDS, ROWS = 16, 4
 NUMERATOR = 75
 #: Lines whose texts are needed and whose ids are sent to all tasks (8 bytes each); with more, a join selects them.

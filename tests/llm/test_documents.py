@@ -136,6 +136,16 @@ def test_lines_equal_all_pairs(spark, corpus):
     assert len(rows) == len(corpus) and not wrong
 
 
+def test_one_typo_in_a_short_line_is_a_copy(spark):
+    """By 5-character n-grams, counted here on their own: one changed character of 48."""
+    line = "Copyright 2019 by the editors, all rights kept. "
+    rows = [(1, line), (2, line.replace("2019", "2018")), (3, "Quite another line about rivers, hills and trees.")]
+    sets = [{t[i : i + 5] for i in range(len(t) - 4)} for _, t in rows]
+    assert len(sets[0] & sets[1]) / len(sets[0] | sets[1]) >= 0.75
+    kept = {r["doc_id"]: r["n_kept"] for r in line_dedup.deduplicate(spark.createDataFrame(rows, DOCS)).collect()}
+    assert kept == {1: 1, 2: 0, 3: 1}
+
+
 def test_line_edge_cases(spark, edge_docs):
     out = line_dedup.deduplicate(edge_docs)
     rows = {(r["doc_id"], r["n_lines"], r["n_kept"]) for r in out.collect()}

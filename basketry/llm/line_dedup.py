@@ -3,15 +3,18 @@
 A line is the set of its character n-grams. Signatures of ``BANDS`` bands of
 ``ROWS`` minima bring similar lines together: two lines of similarity s share a
 band with probability 1 - (1 - s^ROWS)^BANDS, 99.7 % at 0.75 and more above. In a
-band every line is compared, by exact Jaccard similarity, with the first line and
-with the one before it; as the order is another one in each band, so are the
-lines it meets. Linked lines are joined by distributed union-find, and the first
-line of a component in the corpus stays.
+band every line is first compared, by exact Jaccard similarity, with the first
+line and with the one before it. Linked lines are joined by distributed
+union-find. A band whose lines are one component then is settled; in any other
+one the lines of different components are compared too, all of them in a small
+band, those that an exact prefix filter leaves in a large one. So any two similar
+lines that share a band are linked. The first line of a component in the corpus
+stays.
 
 Equal lines are one line from the start: they share an id, the hash of their
-characters. Tasks link the lines of a chunk that share a band among themselves
+characters. Tasks pair the lines of a chunk that share a band among themselves
 and send on one of them, so a band that a third of all lines share reaches its
-partition as one row from each chunk.
+partition as one row from each chunk; the others are known from their pairs.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ MOST_IDS = 1 << 21
 #: Documents to edit and lines to drop from them that are sent to all tasks (some 100 bytes and 8 bytes each);
 #: with more of either, documents are joined with their lines by a shuffle.
 MOST_EDITED, MOST_DROPPED = 1 << 19, 1 << 22
+#: Lines of an unsettled band that are compared one by one; larger bands go through the prefix filter.
+SMALL_BAND = 32
 #: Code points that one step hashes at a time.
 STEP = 1 << 16
 
@@ -105,7 +110,7 @@ def _pairs_of(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def candidates(docs: DataFrame, text: str) -> DataFrame:
-    """``a``, ``b``: ids of lines to compare, without repetition."""
+    """``a``, ``b``, ``band``: ids of lines to compare first. Every line that shares a band with another is in a pair of it."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,8 +135,9 @@ def candidates(docs: DataFrame, text: str) -> DataFrame:
                         pa.array(np.concatenate([key[new].view(np.int64), anywhere, anywhere])),
                         pa.array(np.concatenate([ids[new], ids[local], ids[local]])),
                         pa.array(np.concatenate([np.zeros(new.sum(), np.int64), first[local], before[local]])),
+                        pa.array(np.concatenate([np.zeros(new.sum(), np.int64), *[key[local].view(np.int64)] * 2])),
                     ],
-                    names=["key", "id", "other"],
+                    names=["key", "id", "other", "band"],
                 )
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,9 +145,9 @@ def candidates(docs: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, ids, other = (np.asarray(batch.column(i)) for i in range(3))
+            key, ids, other, band = (np.asarray(batch.column(i)) for i in range(4))
             done = other != 0
-            yield pa.RecordBatch.from_arrays([pa.array(ids[done]), pa.array(other[done])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[done]), pa.array(other[done]), pa.array(band[done])], names=["a", "b", "band"])
             key, ids = key[~done], ids[~done]
             if not len(key):
                 continue
@@ -152,12 +158,70 @@ def candidates(docs: DataFrame, text: str) -> DataFrame:
             last_key, first_id, last_id = key[-1], first[-1], ids[-1]
             for partner in (first, before):
                 differ = ~new & (partner != ids)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[differ]), pa.array(partner[differ])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[differ]), pa.array(partner[differ]), pa.array(key[differ])], names=["a", "b", "band"])
 
-    rows = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(keyed, "key long, id long, other long")
+    rows = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(keyed, "key long, id long, other long, band long")
     dealt = rows.repartition(partitions, "key").sortWithinPartitions("key", F.xxhash64("key", "id"), "id")
-    pairs = dealt.mapInArrow(met, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    pairs = dealt.mapInArrow(met, "a long, b long, band long")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "band").where("a <> b")
+
+
+def unsettled(found: DataFrame, roots: DataFrame) -> DataFrame:
+    """``band``, ``id``, ``root``, ``n``: lines of the bands whose ``n`` lines are not one component yet.
+
+    Bands of two lines are left out: those two were compared.
+    """
+    members = found.select("band", F.explode(F.array("a", "b")).alias("id")).distinct()
+    members = members.join(roots, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("root", "id").alias("root"))
+    open_bands = members.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    return members.join(open_bands.where("n > 2 and low <> high").select("band", "n"), "band")
+
+
+def _meet(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``a``, ``b``: rows of the same keys whose components differ and whose sizes allow the similarity."""
+    left = rows.select(*keys, F.col("id").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"), F.col("most").alias("ma"))
+    right = rows.select(*keys, F.col("id").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"), F.col("most").alias("mb"))
+    return left.join(right, keys).where("a < b and ra <> rb and sa <= mb and sb <= ma").select("a", "b")
+
+
+def remaining(rest: DataFrame, lines: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
+    """``a``, ``b``: pairs of different components in unsettled bands that can be similar.
+
+    Of two similar sets, in any common order of n-grams, the first n - ceil(n * s) + 1
+    of each have one in common. In a large band that order begins with its rarest
+    n-grams, so lines of one template meet only by what sets them apart.
+    """
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = np.array([len(grams(x)) for x in batch.column(1).to_pylist()], dtype=np.int64)
+            most = size * 100 // numerator  # the largest set that can be similar
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(most)], names=["id", "size", "most"])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [sorted(grams(x)) for x in part.column(3).to_pylist()]
+                n = np.array([len(x) for x in sets])
+                bands, ids, roots = (np.repeat(np.asarray(part.column(i)), n) for i in range(3))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bands), pa.array(ids), pa.array(roots), pa.array(np.repeat(n, n)), pa.array([g for x in sets for g in x], pa.string())],
+                    names=["band", "id", "root", "size", "gram"],
+                )
+
+    small = rest.where(F.col("n") <= SMALL_BAND)
+    sized = lines.select("id", "line").mapInArrow(sizes, "id long, size long, most long")
+    direct = _meet(small.join(sized, "id"), ["band"])
+    large = rest.where(F.col("n") > SMALL_BAND).join(lines, "id").select("band", "id", "root", "line")
+    each = large.mapInArrow(hashed, "band long, id long, root long, size long, gram string")
+    each = each.withColumn("gram", F.xxhash64("gram"))  # n-grams of one hash only make more pairs to verify
+    counts = each.groupBy("band", "gram").agg(F.count("*").alias("uses"))
+    ordered = each.join(counts, ["band", "gram"]).groupBy("band", "id", "root", "size").agg(F.array_sort(F.collect_list(F.struct("uses", "gram"))).alias("order"))
+    length = F.expr(f"cast(size - (size * {numerator} + 99) div 100 + 1 as int)")
+    prefix = ordered.select("band", "id", "root", "size", F.expr(f"size * 100 div {numerator}").alias("most"), F.explode(F.slice("order", F.lit(1), length)).alias("p"))
+    prefix = prefix.where("p.uses > 1").select("band", "id", "root", "size", "most", F.col("p.gram").alias("gram")).distinct()
+    return direct.unionByName(_meet(prefix, ["band", "gram"])).distinct()
 
 
 def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -224,10 +288,18 @@ def deduplicate(
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
-    pairs = scratch.cut(candidates(docs, text))
+    found = scratch.cut(candidates(docs, text))
+    pairs = scratch.cut(found.select("a", "b").distinct())
     wanted = scratch.cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     lines = scratch.cut(_texts(docs, text, wanted))
-    roots = components(scratch.cut(verified(pairs, lines, numerator)), scratch)
+    links = scratch.cut(verified(pairs, lines, numerator))
+    roots = components(links, scratch)
+    rest = scratch.cut(unsettled(found, roots))
+    if not rest.isEmpty():
+        more = scratch.cut(remaining(rest, lines, numerator).join(pairs, ["a", "b"], "left_anti"))
+        more_links = scratch.cut(verified(more, lines, numerator))
+        if not more_links.isEmpty():
+            roots = components(links.unionByName(more_links), scratch)
     # every occurrence of a line, without its text
     own = [c for c in docs.columns if c.lower() not in {"n_lines", "n_kept", "__key", "__ids", "__drops", "__edited"}]
     source = docs.select(*[F.col(f"`{c}`") for c in own]).withColumn("__key", F.xxhash64(F.col(f"`{id_column}`").cast("string"), F.col(f"`{text}`")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -146,6 +147,25 @@ def test_one_typo_in_a_short_line_is_a_copy(spark):
     assert kept == {1: 1, 2: 0, 3: 1}
 
 
+@pytest.mark.parametrize("small_band", [32, 2])
+def test_templated_lines_of_several_chunks(spark, monkeypatch, small_band):
+    """Lines of one template share bands without being similar; their copies are in other chunks."""
+    monkeypatch.setattr(line_dedup, "SMALL_BAND", small_band)
+    rng = random.Random(11)
+    slot = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    rows = [f"Our branch office in {slot(7)} is open on all days of the week from {slot(5)} on until late, please call us before." for _ in range(600)]
+    for line in rows[:150]:
+        x, y = rng.randrange(38, 47), rng.randrange(74, 88)
+        rows.append(line[:x] + slot(1).upper() + line[x + 1 : y] + slot(1).upper() + line[y + 1 : -3] + slot(3).upper())
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    expected = expected_lines(rows)
+    assert 100 < sum(not t for t in expected.values()) < 200
+    docs = spark.createDataFrame(rows, DOCS).repartition(8)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.deduplicate(docs).collect()}
+    assert [i for i in expected if got[i] != expected[i]] == []
+
+
 def test_line_edge_cases(spark, edge_docs):
     out = line_dedup.deduplicate(edge_docs)
     rows = {(r["doc_id"], r["n_lines"], r["n_kept"]) for r in out.collect()}

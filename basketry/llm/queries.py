@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, chat, decontaminate, html_extract, jaccard_join, line_dedup, quality, secrets, topk, toxicity
+from basketry.llm import bpe, chat, decontaminate, html_extract, jaccard_join, line_dedup, quality, secrets, spelling, topk, toxicity
 from basketry.llm.storage import Scratch, cut
 
 
@@ -153,9 +153,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_toxicity, op2_quality, op3_jaccard_join, op4_secrets, op5_topk, op6_chat, op7_byte_bpe, op8_html, op9_line_dedup, op10_decontaminate)
 }
+QUERIES |= {f.__name__: f for f in (op13_spelling,)}
 
 SQL: dict[str, str] = {"op5_topk": OP5_SQL, "op6_chat": OP6_SQL}

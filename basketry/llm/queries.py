@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, chat, decontaminate, html_extract, jaccard_join, line_dedup, quality, secrets, spelling, topk, toxicity
+from basketry.llm import bpe, chat, decontaminate, html_extract, jaccard_join, lexical, line_dedup, quality, secrets, spelling, suffix_dedup, topk, toxicity
 from basketry.llm.storage import Scratch, cut
 
 
@@ -153,6 +153,40 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.rank(docs, read(spark, sf_dir, "benchmark"))
+
+
+#: Letters, digits and all that is not ASCII; A-Z as a-z.
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+OP11_SQL = f"""
+WITH docs AS (
+  SELECT k, doc_id, t, CAST(len(t) AS BIGINT) AS n
+  FROM (SELECT row_number() OVER () AS k, doc_id, {_TERMS} AS t FROM documents) WHERE len(t) > 0
+), corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM docs
+), wanted AS (SELECT item_id, term, count(*) AS uses FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+), held AS (
+  SELECT k, doc_id, n, term, count(*) AS tf FROM (SELECT k, doc_id, n, unnest(t) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, corpus GROUP BY term
+), scored AS (
+  SELECT item_id, k, doc_id,
+    CAST(sum(uses * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN held USING (term), corpus GROUP BY item_id, k, doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -161,6 +195,6 @@ QUERIES = {
     f.__name__: f
     for f in (op1_toxicity, op2_quality, op3_jaccard_join, op4_secrets, op5_topk, op6_chat, op7_byte_bpe, op8_html, op9_line_dedup, op10_decontaminate)
 }
-QUERIES |= {f.__name__: f for f in (op13_spelling,)}
+QUERIES |= {f.__name__: f for f in (op11_lexical, op12_suffix_dedup, op13_spelling)}
 
-SQL: dict[str, str] = {"op5_topk": OP5_SQL, "op6_chat": OP6_SQL}
+SQL: dict[str, str] = {"op5_topk": OP5_SQL, "op6_chat": OP6_SQL, "op11_lexical": OP11_SQL}

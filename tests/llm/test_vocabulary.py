@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from basketry.llm import spelling
+from basketry.llm import lexical, spelling
 
 DOCS = "doc_id long, text string"
 
@@ -115,3 +117,93 @@ def test_variants_edge_cases(spark, edge_docs):
     assert variant_rows(spelling.variants(edge_docs)) == expected_variants(rows)
     clash = spark.createDataFrame([(1, "tokens Tokens toKens taken tokenz tokenz tokenz", "own", "own")], "doc_id long, text string, word string, n string")
     assert variant_rows(spelling.variants(clash)) == expected_variants([(1, "tokens Tokens toKens taken tokenz tokenz tokenz")])
+
+
+# --- ranked search -----------------------------------------------------------------
+
+
+def split_terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower(text))
+
+
+def expected_ranks(rows, items, k):
+    docs = [(i, Counter(split_terms(t)), len(split_terms(t))) for i, t in rows if split_terms(t)]
+    number, total = len(docs), sum(n for *_, n in docs)
+    held = Counter(term for _, c, _ in docs for term in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for i, c, n in docs:
+            m = 75 + 25 * n * number // total
+            score = 0
+            for term in split_terms(text):
+                if c[term]:
+                    w = math.floor(1000 * math.log((2 * number + 2) / (2 * held[term] + 1)))
+                    score += w * (1_000_000_000 * c[term] // (1000 * c[term] + 12 * m))
+            if score > 0:
+                scored.append((-score, i is None, i or 0, i))
+        scored.sort(key=lambda s: s[:3])
+        out += [(item, r, s[3], -s[0]) for r, s in enumerate(scored[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def ranks(df):
+    return sorted(((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in df.collect()), key=repr)
+
+
+ITEMS = [(1, "One Two, one THREE é!"), (2, "four four four five"), (3, "nowhere"), (4, ""), (5, None), (7, "tie one two three four five")]
+
+
+@pytest.fixture(scope="module")
+def small_docs():
+    rng = random.Random(2)
+    words = "one two three four five six é seven_eight 9 nine".split()
+    rows = [(i, rng.choice([" ", ". "]).join(rng.choices(words, k=rng.randint(0, 12)))) for i in range(300)]
+    return [*rows, (900, None), (901, ""), (None, "one two"), (None, "one two"), (5, rows[5][1]), (902, "One " * 5000)]
+
+
+@pytest.mark.parametrize("documents, terms, exact", [(512, 2048, 1 << 53), (7, 3, 3_000_000_000)])
+def test_ranks_equal_plain_scores(spark, small_docs, monkeypatch, documents, terms, exact):
+    monkeypatch.setattr(lexical, "DOCUMENTS", documents)
+    monkeypatch.setattr(lexical.Items.weigh, "__defaults__", (terms, exact))
+    docs = spark.createDataFrame(small_docs, DOCS).repartition(3)
+    items = spark.createDataFrame([*ITEMS, (None, "one")], "item_id long, text string")
+    assert ranks(lexical.rank(docs, items, 20)) == expected_ranks(small_docs, [i for i in ITEMS if i[1] is not None], 20)
+
+
+def test_several_blocks_of_items(spark, small_docs, monkeypatch):
+    monkeypatch.setattr(lexical, "ITEMS", 2)
+    docs = spark.createDataFrame(small_docs, DOCS)
+    items = spark.createDataFrame([(str(i), t) for i, t in ITEMS], "name string, text string")
+    named = [(str(i), t) for i, t in ITEMS if t is not None]
+    found = lexical.rank(docs, items, 3, item_id="name")
+    assert ranks(found) == expected_ranks(small_docs, named, 3)
+
+
+def test_tiles_stay_exact():
+    rng = random.Random(4)
+    rows = [(str(i), " ".join(f"w{rng.randint(0, 60)}" for _ in range(200)) + " heavy" * 50) for i in range(9)]
+    items = lexical.Items(rows)
+    exact = 40_000 * lexical.IMPACT
+    items.weigh(1000, np.arange(len(items.vocabulary)) % 50, 8, exact)
+    whole = np.zeros((len(rows), len(items.vocabulary)), dtype=np.int64)
+    for chosen, first, item, weight in items.tiles:
+        assert len(chosen) <= 8
+        tile = np.zeros_like(whole)
+        np.add.at(tile, (item, np.repeat(chosen, np.diff(first))), weight)
+        assert tile.sum(axis=1).max() * lexical.IMPACT < exact
+        whole += tile
+    items.weigh(1000, np.arange(len(items.vocabulary)) % 50)
+    (chosen, first, item, weight), = items.tiles
+    one = np.zeros_like(whole)
+    np.add.at(one, (item, np.repeat(chosen, np.diff(first))), weight)
+    assert (whole == one).all()
+
+
+def test_ranks_edge_cases(spark, edge_docs):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.select("doc_id", "text").collect()]
+    assert ranks(lexical.rank(edge_docs, items)) == expected_ranks(rows, [i for i in ITEMS if i[1] is not None], 20)
+    assert lexical.rank(edge_docs.limit(0), items).collect() == []
+    assert lexical.rank(edge_docs, items.limit(0)).collect() == []
+    assert lexical.length_factor(np.array([10**9]), 10**12, 10**15).tolist() == [75 + 25 * 10**6]

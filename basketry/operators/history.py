@@ -7,13 +7,9 @@ from pyspark.sql import functions as F
 
 from basketry.functions.dates import DateLike
 from basketry.functions.keys import LIST_LENGTH
-from basketry.operators.skew import join_totals, positions, top_per_group
+from basketry.operators.skew import join_totals, numbered, top_per_group
 from basketry.operators.windows import WindowList, date_window, numbered_windows
 
-# Article ids are ten digits. Four leading digits as a bucket leave at most a
-# million different ids in one bucket, and at most ten thousand buckets per day.
-ID_PREFIX = 4
-
 
 def customer_article_counts(tx: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows ``n``, first date and last date per (customer, article)."""
@@ -78,14 +74,7 @@ def items_per_customer(tx: DataFrame) -> DataFrame:
     place of the first of them in the customer's list.
     """
     daily = tx.groupBy("customer_id", "t_dat", "article_id").agg(F.count(F.lit(1)).alias("n"))
-    return positions(
-        daily,
-        ["customer_id"],
-        {"_day": F.unix_date("t_dat"), "_prefix": F.left("article_id", F.lit(ID_PREFIX))},
-        [F.asc("article_id")],
-        name="position",
-        weight="n",
-    )
+    return numbered(daily, ["customer_id"], [F.asc("t_dat"), F.asc("article_id")], "position", weight="n")
 
 
 def last_purchase_items(
@@ -95,18 +84,13 @@ def last_purchase_items(
 
     Only the last date of each (customer, article) matters, so the rows are
     reduced to that first and the customer's last date comes from the result.
-    Without ``k`` the lists are whole, numbered bucket by bucket.
+    Without ``k`` the lists are whole, whatever their length.
     """
     pairs = tx.groupBy("customer_id", "article_id").agg(F.max("t_dat").alias("last_dat"))
     latest = _recent(pairs, "last_dat", days - 1)
     if k is not None:
         return top_per_group(latest, ["customer_id"], recent_first(), k)
-    return positions(
-        latest,
-        ["customer_id"],
-        {"_day": -F.unix_date("last_dat"), "_prefix": F.left("article_id", F.lit(ID_PREFIX))},
-        [F.asc("article_id")],
-    )
+    return numbered(latest, ["customer_id"], recent_first())
 
 
 def _recent(rows: DataFrame, date: str, within_days: int) -> DataFrame:

@@ -14,19 +14,10 @@ from basketry.operators.windows import date_window, trailing_window
 AGE_EDGES = [-1, 19, 29, 39, 49, 59, 69, 119]
 
 # Sums of float weights differ in the last digits with the order of the rows, so
-# scores are rounded before they are ranked. Exponential weights get smaller than
-# any fixed number of decimals, so their sums keep that many significant digits.
+# scores are rounded before they are ranked.
 SCORE_DIGITS = 9
 
 
-def rounded_score(total: Column, decay: str) -> Column:
-    """A sum of decay weights without the digits that depend on the order of its terms."""
-    if decay != "exp":
-        return F.round(total, SCORE_DIGITS)
-    scale = F.pow(F.lit(10.0), F.lit(SCORE_DIGITS - 1) - F.floor(F.log10(total)))
-    return F.when(total > 0, F.round(total * scale, 0) / scale).otherwise(total)
-
-
 def distinct_buyers(tx: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct customers per article."""
     count = F.approx_count_distinct if approximate else F.count_distinct
@@ -56,22 +47,31 @@ def weighted_popularity(
     decay: str = "inverse",
     by: list[str] | None = None,
 ) -> DataFrame:
-    """Sum of time-decay weights per article; ``ref`` lies after the last row.
+    """Sum of time-decay weights per article, as ``score``; ``ref`` lies after the last row.
 
     Rows are counted per article and day first, so that the float sum has one
-    term per day.
+    term per day. Exponential weights get smaller than any double, so those
+    articles also get ``log_score``, the natural logarithm of the sum: weights are
+    summed relative to the article's own newest day. Order by it; ``score`` is 0
+    where the sum is too small for a double.
     """
     by = by or []
     daily = tx.groupBy(*by, "article_id", "t_dat").agg(F.count(F.lit(1)).alias("n"))
-    weight = F.col("n") * DECAYS[decay](day_diff(ref, "t_dat"))
-    return daily.groupBy(*by, "article_id").agg(
-        rounded_score(F.sum(weight), decay).alias("score")
+    if decay != "exp":
+        weight = F.col("n") * DECAYS[decay](day_diff(ref, "t_dat"))
+        return daily.groupBy(*by, "article_id").agg(F.round(F.sum(weight), SCORE_DIGITS).alias("score"))
+    day = F.struct(day_diff(ref, "t_dat").alias("days"), "n")
+    days = daily.groupBy(*by, "article_id").agg(F.min(day_diff(ref, "t_dat")).alias("_newest"), F.collect_list(day).alias("_days"))
+    relative = F.aggregate(  # oldest first, so that the sum has one order
+        F.reverse(F.array_sort("_days")), F.lit(0.0), lambda total, d: total + d["n"] * F.exp((F.col("_newest") - d["days"]).cast("double"))
     )
+    log_score = F.round(F.log(relative) - F.col("_newest"), SCORE_DIGITS)
+    return days.select(*by, "article_id", F.exp(log_score).alias("score"), log_score.alias("log_score"))
 
 
-def popular_order() -> list[Column]:
+def popular_order(decay: str = "inverse") -> list[Column]:
     """Score descending, ties by descending id."""
-    return [F.desc("score"), F.desc("article_id")]
+    return [F.desc("log_score" if decay == "exp" else "score"), F.desc("article_id")]
 
 
 def top_k_global(counts: DataFrame, k: int = LIST_LENGTH) -> DataFrame:
@@ -94,14 +94,17 @@ def popular_items(
     by: str | None = None,
     decay: str = "inverse",
 ) -> DataFrame:
-    """Top ``k`` articles by decayed popularity in a window: ``[by,] rank, article_id, score``."""
+    """Top ``k`` articles by decayed popularity in a window: ``[by,] rank, article_id, score``.
+
+    With ``decay="exp"`` there is ``log_score`` too, see ``weighted_popularity``.
+    """
     window = date_window(tx, start, end)
     ref = end if ref is None else ref
     if by:
         scores = weighted_popularity(window, ref, decay, [by])
-        return top_per_group(scores, [by], popular_order(), k)
+        return top_per_group(scores, [by], popular_order(decay), k)
     scores = weighted_popularity(window, ref, decay)
-    return ranked(scores.orderBy(*popular_order()).limit(k), popular_order())
+    return ranked(scores.orderBy(*popular_order(decay)).limit(k), popular_order(decay))
 
 
 def channel_group(tx: DataFrame) -> DataFrame:

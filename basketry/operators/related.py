@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from basketry.functions.dates import DateLike, week_bucket
 from basketry.operators.popularity import article_counts, article_stats
-from basketry.operators.skew import join_totals, positions, top_per_group
+from basketry.operators.skew import join_keys, join_totals, numbered, positions, top_per_group
 from basketry.operators.windows import trailing_window
 from basketry.sources.lineage import cut_lineage
 
-# Baskets up to this many articles are paired directly.
-DIRECT_BASKET = 1000
+# Partners of a basket that the first round tries; every later round goes so many times as deep.
+FIRST_DEPTH, DEEPER = 16, 4
 # Positions per bucket when a mapped list is renumbered.
 LIST_BUCKET = 1000
 
@@ -139,132 +139,93 @@ def variant_items(
     return map_list(last_items, variant_map(tx, articles, last, days), "variant_id")
 
 
-def copurchase_pairs(
-    tx: DataFrame,
-    last: DateLike,
-    days: int = 7,
-    direct_basket: int = DIRECT_BASKET,
-) -> DataFrame:
-    """For each article the article that shares most baskets with it.
+def copurchase_pairs(tx: DataFrame, last: DateLike, days: int = 7) -> DataFrame:
+    """For each article the article that shares most baskets with it: ``article_id, article_id2, n``.
 
     A basket holds the different articles of one customer in one bucket of
     ``days`` days. Ties go to the article that is in more baskets, then to the
-    lower id. Columns: ``article_id, article_id2, n``.
-
-    Baskets of up to ``direct_basket`` articles are self-joined. Larger ones are
-    never paired in full, yet the result is exact:
-
-    - a pair already known from the small baskets gets its large baskets added,
-      if these can bring it level with the article's best partner so far;
-    - of the pairs that meet in one large basket only, none beats the basket's
-      most common other article, so that one stands for all of them;
-    - what is left needs two articles that share at least two large baskets, and
-      at least as many as the best count found so far.
+    lower id; in that order every basket offers its articles as partners.
+
+    A threshold algorithm in rounds, each ``DEEPER`` times as deep as the one
+    before: the articles still open meet the next partners of their baskets. After
+    a round a partner's count can grow by the number of the article's baskets
+    that go deeper, and no partner shares more baskets than it is in. The article is
+    closed once neither another partner that was met nor the next one on offer
+    can pass the best. Baskets no deeper than the first round are paired in full,
+    once for both directions. Each round's tables are written to the checkpoint
+    folder while the plan is made; the deepest basket gives the number of rounds.
     """
     basket = ["customer_id", "week_end"]
-    rows = tx.select(
-        "customer_id", week_bucket("t_dat", last, days).alias("week_end"), "article_id"
-    ).distinct()
+    rows = tx.select("customer_id", week_bucket("t_dat", last, days).alias("week_end"), "article_id").distinct()
     sizes = rows.groupBy(*basket).agg(F.count(F.lit(1)).alias("size"))
     rows = cut_lineage(join_totals(rows, sizes, basket))
-    commonness = rows.groupBy("article_id").agg(F.count(F.lit(1)).alias("baskets"))
-
-    small = rows.where(F.col("size").between(2, direct_basket)).drop("size")
-    large = rows.where(F.col("size") > direct_basket).drop("size")
-    other = small.withColumnRenamed("article_id", "article_id2")
-    counted = (
-        small.join(other, basket)
-        .where(F.col("article_id") != F.col("article_id2"))
-        .groupBy("article_id", "article_id2")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    if not large.isEmpty():
-        counted = _with_large_baskets(counted, large, commonness, basket)
-    return _best_partner(counted, commonness)
-
-
-def _partner_order() -> Column:
-    return F.struct(
-        (-F.col("n")).alias("n"), (-F.col("baskets")).alias("baskets"), "article_id2"
-    )
-
-
-def _best_partner(counted: DataFrame, commonness: DataFrame) -> DataFrame:
-    partner = commonness.withColumnRenamed("article_id", "article_id2")
-    best = (
-        join_totals(counted, partner, ["article_id2"])
-        .groupBy("article_id")
-        .agg(F.min(_partner_order()).alias("best"))
-    )
-    return best.select(
-        "article_id",
-        F.col("best.article_id2").alias("article_id2"),
-        (-F.col("best.n")).alias("n"),
-    )
-
-
-def _with_large_baskets(
-    counted: DataFrame, large: DataFrame, commonness: DataFrame, basket: list[str]
-) -> DataFrame:
-    """Pair counts that decide every article's best partner once large baskets count too."""
-    member = join_totals(large, commonness, ["article_id"])
-    leaders = top_per_group(member, basket, [F.desc("baskets"), F.asc("article_id")], 2)
-    top_two = leaders.groupBy(*basket).agg(
-        F.max(F.when(F.col("rank") == 1, F.col("article_id"))).alias("_first"),
-        F.max(F.when(F.col("rank") == 2, F.col("article_id"))).alias("_second"),
-    )
-    with_leader = join_totals(large, top_two, basket).select(
-        "article_id",
-        F.when(F.col("_first") == F.col("article_id"), F.col("_second"))
-        .otherwise(F.col("_first"))
-        .alias("article_id2"),
-        F.lit(0).cast("bigint").alias("n"),
-    )
-    known = (
-        counted.unionByName(with_leader)
-        .groupBy("article_id", "article_id2")
-        .agg(F.max("n").alias("n"))
-    )
-    reach = large.groupBy("article_id").agg(F.count(F.lit(1)).alias("_reach"))
-    reach2 = reach.select(
-        F.col("article_id").alias("article_id2"), F.col("_reach").alias("_reach2")
-    )
-    best = known.groupBy("article_id").agg(F.max("n").alias("_best"))
-    promising = join_totals(join_totals(known, best, ["article_id"]), reach, ["article_id"])
-    promising = join_totals(promising, reach2, ["article_id2"]).where(
-        F.col("n") + F.least("_reach", "_reach2") >= F.col("_best")
-    )
-    partner = large.withColumnRenamed("article_id", "article_id2")
-    shared = (
-        promising.select("article_id", "article_id2")
-        .join(large, "article_id")
-        .join(partner, ["article_id2", *basket], "left_semi")
-        .groupBy("article_id", "article_id2")
-        .agg(F.count(F.lit(1)).alias("_shared"))
-    )
-    known = cut_lineage(
-        known.join(shared, ["article_id", "article_id2"], "left").select(
-            "article_id",
-            "article_id2",
-            (F.col("n") + F.coalesce("_shared", F.lit(0))).alias("n"),
-        )
-    )
-    floor = known.groupBy("article_id").agg(F.max("n").alias("_floor"))
-    reach = reach.where(F.col("_reach") >= 2)
-    open_rows = join_totals(
-        large, reach.join(floor, "article_id"), ["article_id"]
-    ).where(F.col("_floor") <= F.col("_reach"))
-    partner = join_totals(large, reach, ["article_id"]).select(
-        F.col("article_id").alias("article_id2"), F.col("_reach").alias("_reach2"), *basket
-    )
-    rest = (
-        open_rows.join(partner, basket)
-        .where(
-            (F.col("article_id") != F.col("article_id2"))
-            & (F.col("_reach2") >= F.col("_floor"))
-        )
-        .groupBy("article_id", "article_id2")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= 2)
-    )
-    return known.unionByName(rest)
+    common = cut_lineage(rows.groupBy("article_id").agg(F.count(F.lit(1)).alias("baskets"), F.max("size").alias("deepest")))
+    deepest = common.agg(F.max("deepest")).first()[0] or 0
+
+    small = rows.where(F.col("size").between(2, FIRST_DEPTH))
+    found = _both_ways(small, basket)
+    done = None
+    if deepest > FIRST_DEPTH:
+        deep = join_totals(rows.where(F.col("size") > FIRST_DEPTH), common.select("article_id", "baskets"), ["article_id"])
+        deep = cut_lineage(numbered(deep, basket, [F.desc("baskets"), F.asc("article_id")], "place"))
+        open_rows, low, high = deep, 0, FIRST_DEPTH
+        while True:
+            met = _meet(open_rows, deep, basket, low, high).groupBy("article_id", "article_id2").agg(F.count(F.lit(1)).alias("n"))
+            found = found.unionByName(met).groupBy("article_id", "article_id2").agg(F.sum("n").alias("n"))
+            if high >= deepest:
+                break
+            found = cut_lineage(found)
+            judged = cut_lineage(_judged(_with_baskets(found, common), open_rows, deep, basket, high))
+            closed = judged.where("closed").select("article_id", "best.*")
+            done = closed if done is None else done.unionByName(closed)
+            found = join_keys(found, closed, ["article_id"], "left_anti")
+            open_rows = cut_lineage(join_keys(open_rows.where(F.col("size") > high), closed, ["article_id"], "left_anti"))
+            low, high = high, high * DEEPER
+    rest = _with_baskets(found, common).groupBy("article_id").agg(F.min(_partner_order()).alias("best")).select("article_id", "best.*")
+    return (rest if done is None else done.unionByName(rest)).select("article_id", "article_id2", (-F.col("n")).alias("n"))
+
+
+def _both_ways(small: DataFrame, basket: list[str]) -> DataFrame:
+    """Shared baskets of every two articles of whole baskets, counted once and given in both directions."""
+    other = small.select(*basket, F.col("article_id").alias("article_id2"))
+    once = small.select(*basket, "article_id").join(other, basket).where(F.col("article_id") < F.col("article_id2"))
+    counted = once.groupBy("article_id", "article_id2").agg(F.count(F.lit(1)).alias("n"))
+    ways = F.array(
+        F.struct("article_id", "article_id2"),
+        F.struct(F.col("article_id2").alias("article_id"), F.col("article_id").alias("article_id2")),
+    )
+    return counted.select(F.explode(ways).alias("way"), "n").select("way.*", "n")
+
+
+def _meet(open_rows: DataFrame, deep: DataFrame, basket: list[str], low: int, high: int) -> DataFrame:
+    """Open articles with the partners at the places ``low + 1 .. high`` of their baskets."""
+    offered = deep.where((F.col("place") > low) & (F.col("place") <= high)).select(*basket, F.col("article_id").alias("article_id2"))
+    return open_rows.select(*basket, "article_id").join(offered, basket).where(F.col("article_id") != F.col("article_id2")).select("article_id", "article_id2")
+
+
+def _with_baskets(found: DataFrame, common: DataFrame) -> DataFrame:
+    """Pairs with the number of baskets that the partner is in."""
+    partner = common.select(F.col("article_id").alias("article_id2"), "baskets")
+    return join_totals(found, partner, ["article_id2"])
+
+
+def _partner_order(n: str = "n") -> Column:
+    return F.struct((-F.col(n)).alias("n"), (-F.col("baskets")).alias("baskets"), "article_id2")
+
+
+def _judged(found: DataFrame, open_rows: DataFrame, deep: DataFrame, basket: list[str], high: int) -> DataFrame:
+    """``article_id, best, closed`` of the articles with a partner, ``best`` as a ``_partner_order``."""
+    offer = deep.where(F.col("place") == high + 1).select(
+        *basket, F.struct((-F.col("baskets")).alias("baskets"), F.col("article_id").alias("article_id2")).alias("offer")
+    )
+    deeper = open_rows.where(F.col("size") > high).join(offer, basket)
+    reach = deeper.groupBy("article_id").agg(F.count(F.lit(1)).alias("reach"), F.min("offer").alias("offer"))
+    seen = join_totals(found, reach, ["article_id"], "left").withColumn(
+        "most", F.least(F.col("n") + F.coalesce("reach", F.lit(0)), "baskets")
+    )
+    judged = seen.groupBy("article_id").agg(
+        F.min(_partner_order()).alias("best"), F.min(_partner_order("most")).alias("rival"), F.max("reach").alias("reach"), F.max("offer").alias("offer")
+    )
+    coming = F.struct((-F.least("reach", -F.col("offer.baskets"))).alias("n"), F.col("offer.baskets").alias("baskets"), F.col("offer.article_id2").alias("article_id2"))
+    closed = F.col("reach").isNull() | ((F.col("rival") == F.col("best")) & (F.col("best") < coming))
+    return judged.select("article_id", "best", closed.alias("closed"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.sources.lineage import cut_lineage
+
 
 def join_totals(
     rows: DataFrame, totals: DataFrame, keys: list[str], how: str = "inner"
@@ -42,12 +44,58 @@ def top_per_group(
     The filter on the rank lets Spark cut every group to ``k`` rows on the map
     side, so a hot group sends at most ``k`` rows per task. Spark does so for ``k``
     up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default); use
-    ``positions`` for longer lists of hot groups.
+    ``numbered`` for longer lists of hot groups.
     """
     w = Window.partitionBy(*group).orderBy(*order)
     return rows.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 
+def numbered(
+    rows: DataFrame,
+    group: list[str],
+    order: list[Column],
+    name: str = "rank",
+    weight: str | None = None,
+) -> DataFrame:
+    """1-based position of every row in its group, for groups of any length.
+
+    A prefix sum in two passes. Rows are dealt to ranges of (group, order), which a
+    sample makes equally large whatever the groups, and numbered within range and
+    group. Only a range's first group can have begun before it, so one number for
+    each range, the rows of that group in earlier ranges, shifts them into place.
+    With ``weight`` a row stands for that many neighbouring rows and gets the
+    position of the first of them. The numbered ranges are written to the
+    checkpoint folder while the plan is made.
+    """
+    placed = cut_lineage(numbered_in_parts(rows, group, order, "_within", weight))
+    last = F.col("_within") + F.col(weight) - 1 if weight else F.col("_within")
+    parts = placed.groupBy("_part").agg(
+        F.min(F.struct(*group)).alias("first"), F.max(F.struct(*group, last.alias("_rows"))).alias("end")
+    )
+    begun = parts.select(*[F.col(f"first.{g}").alias(f"_{g}") for g in group], "_part", F.lit(0).alias("_kind"), F.lit(0).alias("_rows"))
+    ended = parts.select(*[F.col(f"end.{g}").alias(f"_{g}") for g in group], "_part", F.lit(1).alias("_kind"), F.col("end._rows"))
+    earlier = Window.partitionBy(*[f"_{g}" for g in group]).orderBy("_part", "_kind").rowsBetween(Window.unboundedPreceding, -1)
+    shift = begun.unionByName(ended).withColumn("_before", F.sum("_rows").over(earlier)).where((F.col("_kind") == 0) & (F.col("_before") > 0))
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    # at most one row for each range
+    joined = placed.join(F.broadcast(shift.drop("_kind", "_rows")), "_part", "left")
+    before = F.when(same, F.col("_before")).otherwise(0)
+    return joined.select(*rows.columns, (F.col("_within") + F.coalesce(before, F.lit(0))).cast("bigint").alias(name))
+
+
+def numbered_in_parts(rows: DataFrame, group: list[str], order: list[Column], name: str, weight: str | None = None) -> DataFrame:
+    """Rows with the number of their range of (group, order), ``_part``, and their position in range and group."""
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(ranges, *[F.col(g) for g in group], *order).withColumn("_part", F.spark_partition_id())
+    inside = Window.partitionBy("_part", *group).orderBy(*order)
+    if not weight:
+        return dealt.withColumn(name, F.row_number().over(inside))
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    return dealt.withColumn(name, F.coalesce(F.sum(weight).over(before), F.lit(0)) + 1)
+
+
 def positions(
     rows: DataFrame,
     group: list[str],
@@ -56,11 +104,11 @@ def positions(
     name: str = "rank",
     weight: str | None = None,
 ) -> DataFrame:
-    """1-based position of every row in its group, for groups of any length.
+    """1-based position of every row in its group, where the data has small buckets in that order.
 
     ``buckets`` are leading sort expressions (ascending). Rows are numbered
     within a bucket only, and shifted by the number of rows in earlier buckets,
-    so that no task ever sorts a whole group. With ``weight`` a row stands for
+    with a single shuffle. Use ``numbered`` where no buckets are known. With ``weight`` a row stands for
     that many neighbouring rows and gets the position of the first of them.
     """
     keys = [*group, *buckets]

@@ -23,7 +23,8 @@ def _aligned_csv(
     """Typed columns by header name, whatever their order in the files.
 
     Only a header line is read here. All files must have the same header; one
-    with another order of columns fails when it is read. Columns that the schema
+    with another order of columns fails when it is read, also with
+    ``corrupt_column``. Columns that the schema
     does not name follow as strings, optional columns that the files lack come
     back as nulls, and a lacking required one is an error. A value that does not
     fit its type fails the job, or, with ``corrupt_column``, leaves the line in
@@ -35,12 +36,12 @@ def _aligned_csv(
         raise ValueError(f"{path} has no column {', '.join(lacking)}")
     types = {field.name: field.dataType for field in wanted}
     layout = [T.StructField(name, types.get(name, T.StringType())) for name in header]
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if corrupt_column:
         layout.append(T.StructField(corrupt_column, T.StringType()))
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
     else:
-        reader = reader.option("mode", "FAILFAST").option("enforceSchema", False)
+        reader = reader.option("mode", "FAILFAST")
     rows = reader.schema(T.StructType(layout)).csv(path)
     named = [
         F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)

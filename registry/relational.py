@@ -306,24 +306,29 @@ def items_per_customer(spark, sf_dir):
     return history.items_per_customer(clicks(spark, sf_dir).tx)
 
 
-EXP_REF = W1[1] + dt.timedelta(days=30)
+EXP_REF = W1[1] + dt.timedelta(days=790)
 
 
 @query(
     "weighted_popularity_exp",
     clicks_sql(
-        f"""sums AS (SELECT article_id, sum(exp(-CAST(DATE '{EXP_REF}' - t_dat AS DOUBLE))) AS s
-             FROM tx WHERE {f.window(W2[0], W1[1])} GROUP BY 1),
-        scored AS (SELECT article_id, round(s * pow(10.0::DOUBLE, 8 - floor(log10(s)))) / pow(10.0::DOUBLE, 8 - floor(log10(s))) AS score FROM sums)
-        SELECT article_id, CAST(row_number() OVER (ORDER BY score DESC, article_id DESC) AS INTEGER) AS rank
-        FROM scored QUALIFY rank <= 50"""
+        f"""days AS (SELECT article_id, DATE '{EXP_REF}' - t_dat - CASE WHEN CAST(article_id AS BIGINT) % 2 = 0 THEN 0 ELSE 90 END AS back
+             FROM tx WHERE {f.window(W2[0], W1[1])}),
+        newest AS (SELECT article_id, min(back) AS newest FROM days GROUP BY 1),
+        sums AS (SELECT article_id, any_value(newest) AS newest, sum(exp(CAST(newest - back AS DOUBLE))) AS s
+             FROM days JOIN newest USING (article_id) GROUP BY 1),
+        scored AS (SELECT article_id, round(ln(s) - newest, 9) AS log_score FROM sums)
+        SELECT article_id, round(log_score, 6) AS log_score, CAST(row_number() OVER (ORDER BY log_score DESC, article_id DESC) AS INTEGER) AS rank
+        FROM scored"""
     ),
 )
 def weighted_popularity_exp(spark, sf_dir):
-    """The last sale is 30 days back: weights are too small for a fixed number of decimals."""
+    """Articles last sold some 700 and some 800 days back, where weights are too small for a double."""
     tx = clicks(spark, sf_dir).tx
-    top = popularity.popular_items(tx, W2[0], W1[1], EXP_REF, k=50, decay="exp")
-    return top.select("article_id", "rank")
+    odd = F.col("article_id").cast("long") % 2 == 1
+    moved = windows.date_window(tx, W2[0], W1[1]).withColumn("t_dat", F.when(odd, F.date_add("t_dat", 90)).otherwise(F.col("t_dat")))
+    top = popularity.popular_items(moved, W2[0], EXP_REF, EXP_REF, k=1_000_000, decay="exp")
+    return top.select("article_id", F.round("log_score", 6).alias("log_score"), "rank")
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import combine, evaluate, history, popularity, profile, related, windows
 from basketry.operators.factor import dense_ids
-from basketry.operators.skew import attach_segment_list, join_totals, positions
+from basketry.operators.skew import attach_segment_list, join_totals, numbered, numbered_in_parts, positions
 from basketry.plans import recommend
 
 START = dt.date(2020, 1, 1)
@@ -49,20 +50,64 @@ def brute_pairs(rows):
     }
 
 
-@pytest.mark.parametrize("direct", [1, 2, 4, 1000])
+@pytest.mark.parametrize("first, deeper", [(1, 2), (2, 2), (3, 4), (16, 4)])
 @pytest.mark.parametrize("seed, n, customers, articles, hot", [
     (1, 400, 12, 30, 0.0),
     (2, 500, 30, 40, 0.35),
     (3, 300, 3, 60, 0.2),
 ])
-def test_copurchase_pairs_match_brute_force(purchases, direct, seed, n, customers, articles, hot):
-    """Also when nearly every basket counts as large."""
+def test_copurchase_pairs_match_brute_force(purchases, monkeypatch, first, deeper, seed, n, customers, articles, hot):
+    """Also when nearly every basket takes several rounds."""
+    monkeypatch.setattr(related, "FIRST_DEPTH", first)
+    monkeypatch.setattr(related, "DEEPER", deeper)
     rows = random_rows(seed, n, customers, articles, hot)
-    got = related.copurchase_pairs(purchases(rows), LAST, direct_basket=direct).collect()
+    got = related.copurchase_pairs(purchases(rows), LAST).collect()
     expected = {a: (b, -n_) for a, (n_, _, b) in brute_pairs(rows).items()}
     assert {r["article_id"]: (r["article_id2"], r["n"]) for r in got} == expected
 
 
+def test_tying_articles_of_equal_baskets_are_not_paired_in_full(purchases, monkeypatch):
+    tried = []
+    meet = related._meet
+
+    def counted(*args):
+        rows = meet(*args)
+        tried.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(related, "_meet", counted)
+    n = 400
+    rows = [(LAST - dt.timedelta(days=7 * c), f"c{c}", f"a{i:04d}") for c in range(2) for i in range(n)]
+    got = {r["article_id"]: (r["article_id2"], r["n"]) for r in related.copurchase_pairs(purchases(rows), LAST).collect()}
+    assert got == {f"a{i:04d}": ("a0000" if i else "a0001", 2) for i in range(n)}
+    assert sum(tried) <= 3 * related.FIRST_DEPTH * n  # not n * n
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+def test_numbering_splits_a_hot_group(spark, weight):
+    """All ids of the hot group begin alike; its rows are numbered by several tasks."""
+    rng = random.Random(6)
+    rows = [("hot", 1, f"0000{i:06d}") for i in range(4000)] + [(f"c{i % 90:02d}", rng.randrange(3), f"0000{i:06d}") for i in range(900)] + [(None, 0, "x"), (None, 0, "y")]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, b int, v string").withColumn("w", F.pmod(F.hash("v"), F.lit(3)) + 1).repartition(6)
+    order = [F.desc("b"), F.asc("v")]
+    parts = numbered_in_parts(df, ["g"], order, "_within", weight).where("g = 'hot'").groupBy("_part").count().collect()
+    assert len(parts) >= 4 and max(r["count"] for r in parts) < 2000
+    by_group = defaultdict(list)
+    for r in numbered(df, ["g"], order, weight=weight).collect():
+        by_group[r["g"]].append(r)
+    assert sum(map(len, by_group.values())) == len(rows)
+    for members in by_group.values():
+        place = 1
+        for r in sorted(members, key=lambda r: (-r["b"], r["v"])):
+            assert r["rank"] == place
+            place += r["w"] if weight else 1
+
+
+def test_numbering_of_nothing(spark):
+    assert numbered(spark.createDataFrame([], "g string, v int"), ["g"], [F.asc("v")]).collect() == []
+
+
 def test_positions_equal_one_long_numbering(spark):
     rng = random.Random(5)
     rows = [("hot" if rng.random() < 0.5 else f"c{i % 7}", rng.randrange(50), i) for i in range(600)]
@@ -144,7 +189,7 @@ def shop(spark, purchases):
 def recommenders(tx, population, articles, customers):
     ref = LAST - dt.timedelta(days=6)
     ws = windows.back_windows(ref, 7, 3)
-    pairs = related.copurchase_pairs(tx, LAST, direct_basket=4)
+    pairs = related.copurchase_pairs(tx, LAST)
     return {
         "top12": recommend.top12(tx, population),
         "history_fill": recommend.history_fill(tx, population, *ws[0]),
@@ -294,11 +339,24 @@ def test_rank_has_no_cap(spark):
 def test_exponential_decay_keeps_the_order_of_old_sales(spark, purchases):
     rows = [("2020-08-01", f"u{i}", "often") for i in range(5)] + [("2020-08-01", "u0", "zz_once")]
     tx = purchases(rows)
-    for ref in ("2020-09-15", "2021-03-01"):
+    for ref in ("2020-09-15", "2021-03-01", "2022-08-01", "2026-08-01"):
         top = popularity.popular_items(tx, "2020-08-01", "2020-08-02", ref=ref, decay="exp").orderBy("rank")
         assert [r["article_id"] for r in top.collect()] == ["often", "zz_once"]
 
 
+def test_exponential_decay_over_years(spark, purchases):
+    """Weights of any age are ranked; none is NaN."""
+    ref = dt.date(2025, 1, 1)
+    days = [1, 2, 30, 365, 691, 692, 700, 720, 744, 745, 746, 800, 1200, 2000]
+    tx = purchases([(ref - dt.timedelta(days=d), "u", f"a{d:04d}") for d in days] + [(ref - dt.timedelta(days=701), "u", "a0700")])
+    top = popularity.popular_items(tx, "2015-01-01", ref, k=50, decay="exp").orderBy("rank").collect()
+    assert [r["article_id"] for r in top] == [f"a{d:04d}" for d in days]
+    for r in top:
+        d = int(r["article_id"][1:])
+        expected = -700 + math.log(1 + math.exp(-1)) if d == 700 else -d
+        assert abs(r["log_score"] - expected) < 1e-8 and r["score"] == pytest.approx(math.exp(expected), rel=1e-6)
+
+
 def test_channel_fill_takes_null_and_other_channels(spark, purchases):
     from basketry.plans import recommend
 

@@ -51,11 +51,12 @@ def test_other_columns_are_kept(spark, tmp_path):
     assert tables.read_customers_csv(spark, str(path)).first()["extra"] == "x"
 
 
-def test_files_with_other_column_orders_fail(spark, tmp_path):
+@pytest.mark.parametrize("corrupt_column", [None, "line"])
+def test_files_with_other_column_orders_fail(spark, tmp_path, corrupt_column):
     (tmp_path / "a.csv").write_text(HEADER + LINES)
     (tmp_path / "b.csv").write_text("t_dat,article_id,customer_id,price,sales_channel_id\n2020-09-01,0108775015,aa,1,2\n")
     with pytest.raises(Exception, match="(?i)header"):
-        tables.read_transactions_csv(spark, str(tmp_path)).collect()
+        tables.read_transactions_csv(spark, str(tmp_path), corrupt_column=corrupt_column).collect()
 
 
 def test_lacking_columns_and_bad_dates_fail(spark, tmp_path):

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from math import isfinite
+from math import ceil, floor, isfinite
 
 from pyspark.ml.feature import Bucketizer, StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.functions.text import char_count, ngrams, tokens, word_count
 from basketry.operators.skew import join_keys
+from basketry.sources.lineage import cut_lineage
 
 QUARTILES = (0.25, 0.5, 0.75)
+# Different values of a quantile bin that one task sorts; parts that a larger one is cut into.
+MOST_IN_A_BIN, SUB_BINS = 1 << 20, 256
+# Types whose few possible values are numbers by themselves: their bitmaps are small.
+NUMBERED_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.DateType)
 
 
 def _number(column: str):
@@ -29,10 +35,33 @@ def null_counts(df: DataFrame) -> DataFrame:
 def distinct_counts(
     df: DataFrame, columns: list[str], approximate: bool = False
 ) -> DataFrame:
-    """``column, n_distinct``; nulls do not count."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    counts = df.agg(*[count(F.col(c)).cast("bigint").alias(c) for c in columns])
-    return _as_rows(counts, columns, "n_distinct")
+    """``column, n_distinct``; nulls do not count.
+
+    No row is copied once per column: every column is an aggregation of its own
+    that reads nothing else. Dates and other types of few possible values are
+    counted by bitmaps, which tasks merge like sums; their numbers are dense. Others
+    are reduced to their different values map-side first.
+    """
+    if approximate:
+        counts = df.agg(*[F.approx_count_distinct(F.col(c)).cast("bigint").alias(c) for c in columns])
+        return _as_rows(counts, columns, "n_distinct")
+    parts = [_distinct_values(df, c).agg(F.lit(c).alias("column"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_distinct")) for c in columns]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """``n``: partial numbers of different values."""
+    kind = df.schema[column].dataType
+    values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+    if isinstance(kind, NUMBERED_TYPES):
+        number = F.unix_date("v") if isinstance(kind, T.DateType) else F.col("v").cast("int")
+        numbers = values.select(number.cast("bigint").alias("id"))
+        bitmap = F.bitmap_construct_agg(F.bitmap_bit_position("id"))
+        return numbers.groupBy(F.bitmap_bucket_number("id").alias("bucket")).agg(F.bitmap_count(bitmap).alias("n"))
+    return values.distinct().select(F.lit(1).alias("n"))
 
 
 def _as_rows(one_row: DataFrame, columns: list[str], name: str) -> DataFrame:
@@ -60,73 +89,138 @@ def histogram(df: DataFrame, column: str, width: float, low: float = 0.0) -> Dat
     )
 
 
-def _bin_edges(df: DataFrame, columns: list[str], bins: int) -> dict[str, list[float]]:
-    """Approximate quantiles of all columns in one pass; at most ``bins`` numbers per column."""
+def _values(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[_number(c).alias(f"v{i}") for i, c in enumerate(columns)])
+
+
+def _binned(values: DataFrame, columns: list[str], bins: int) -> DataFrame:
+    """Bin of every value as ``b0, b1, ..``, cut at approximate quantiles of all columns, found in one pass."""
+    names = values.columns
     fractions = [i / bins for i in range(1, bins)]
-    doubles = df.select(*[_number(c).alias(c) for c in columns])
-    found = doubles.approxQuantile(columns, fractions, 1.0 / bins)
-    return {c: sorted(e for e in set(edges) if isfinite(e)) for c, edges in zip(columns, found)}
+    found = values.approxQuantile(names, fractions, 1.0 / bins)
+    cuts = [sorted({e for e in edges if isfinite(e)}) or [0.0] for edges in found]
+    splits = [[float("-inf"), *c, float("inf")] for c in cuts]
+    return Bucketizer(splitsArray=splits, inputCols=names, outputCols=[f"b{i}" for i in range(len(names))]).transform(values)
 
 
-def quantiles(
+def quantile_table(
     df: DataFrame,
-    column: str,
+    columns: list[str],
     fractions: tuple[float, ...] = QUARTILES,
     bins: int = 1000,
-    edges: list[float] | None = None,
+    most: int = MOST_IN_A_BIN,
 ) -> DataFrame:
-    """Exact, linearly interpolated quantiles: ``fraction, value``.
-
-    Approximate quantiles cut the values into bins of similar size, the bin sizes
-    tell which bins hold the wanted places, and only those are sorted. No task
-    and no aggregation buffer holds all values.
+    """Exact, linearly interpolated quantiles of all columns together: ``column, fraction, value``.
+
+    Approximate quantiles cut each column into bins, one pass counts the bins of
+    all columns, and another keeps the different values of those that hold a
+    wanted place. A kept bin of more than ``most`` different values is cut again
+    by its own approximate quantiles, until all fit; only then are they sorted.
+    The passes over ``df`` do not depend on the number of columns, and no task
+    and no aggregation buffer holds all values. Bin sizes, ``bins`` for each
+    column, come to the driver while the plan is made; a column without numbers
+    has no rows.
     """
-    cuts = _bin_edges(df, [column], bins)[column] if edges is None else edges
-    values = df.select(_number(column).alias("v")).where(F.col("v").isNotNull())
-    splits = [float("-inf"), *cuts, float("inf")]
-    counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    if cuts:
-        binned = Bucketizer(splits=splits, inputCol="v", outputCol="bin").transform(counted)
-    else:  # no finite value in sight: one bin
-        binned = counted.withColumn("bin", F.lit(0.0))
-    sizes = binned.groupBy("bin").agg(F.sum("n").alias("size"))
-    running = Window.orderBy("bin")  # at most bins + 1 rows
-    placed = sizes.select(
-        "bin", "size", (F.sum("size").over(running) - F.col("size")).alias("before")
-    )
-    total = sizes.agg(F.sum("size")).scalar()
-    # A place between two rows needs both; one row per bin and place, then the few hits.
-    home = (
-        placed.withColumn("fraction", F.explode(F.array(*[F.lit(float(f)) for f in fractions])))
-        .withColumn("place", F.col("fraction") * (total - 1))
-        .withColumn("at", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))))
-        .where((F.col("at") >= F.col("before")) & (F.col("at") < F.col("before") + F.col("size")))
-    )
-    inside = Window.partitionBy("bin").orderBy("v")
-    needed = binned.join(
-        F.broadcast(home.select("bin", "before").distinct()), "bin"
-    ).withColumn("upto", F.col("before") + F.sum("n").over(inside))
-    # One row per wanted place: a handful, whatever the size of the data.
-    found = (
-        needed.drop("before")
-        .join(F.broadcast(home.select("bin", "fraction", "place", "at")), "bin")
-        .where((F.col("at") < F.col("upto")) & (F.col("at") >= F.col("upto") - F.col("n")))
+    binned = _binned(_values(df, columns), columns, bins)
+    slots = range(len(columns))
+    cells = F.array(*[F.struct(F.lit(i).alias("slot"), F.col(f"b{i}").alias("bin")) for i in slots])
+    sizes = binned.select(F.inline(cells)).where(F.col("bin").isNotNull()).groupBy("slot", "bin").agg(F.count(F.lit(1)).alias("n")).collect()
+    wanted = _places(fractions, {(r["slot"], r["bin"]): r["n"] for r in sizes})
+    spark = df.sparkSession
+    if not wanted:
+        return spark.createDataFrame([], "column string, fraction double, value double")
+    bins_of = {i: sorted({bin_ for slot, bin_, *_ in wanted if slot == i}) for i in slots}
+    chosen = [
+        F.when(F.col(f"b{i}").isin(bins_of[i]), F.struct(F.lit(i).alias("slot"), F.col(f"b{i}").alias("bin"), F.col(f"v{i}").alias("v")))
+        for i in slots
+        if bins_of[i]
+    ]
+    # a bin is a path of numbers: the first cut's, then those of the later ones
+    values = binned.select(F.inline(F.array_compact(F.array(*chosen)))).withColumn("bin", F.col("bin").cast("int").cast("string"))
+    held = cut_lineage(values.groupBy("slot", "bin", "v").agg(F.count(F.lit(1)).alias("n")))
+    places = [(slot, str(int(bin_)), *rest) for slot, bin_, *rest in wanted]
+    held, places = _refined(held, places, most)
+    home = spark.createDataFrame(places, "slot int, bin string, before long, fraction double, place double, at long")
+    inside = Window.partitionBy("slot", "bin").orderBy("v")
+    hits = (
+        held.withColumn("upto", F.sum("n").over(inside))
+        .join(F.broadcast(home), ["slot", "bin"])  # two rows for each column and fraction
+        .where((F.col("at") < F.col("before") + F.col("upto")) & (F.col("at") >= F.col("before") + F.col("upto") - F.col("n")))
     )
     low = F.max(F.when(F.col("at") == F.floor("place"), F.col("v")))
     high = F.max(F.when(F.col("at") == F.ceil("place"), F.col("v")))
-    return found.groupBy("fraction", "place").agg(low.alias("low"), high.alias("high")).select(
+    names = F.array(*[F.lit(c) for c in columns])
+    return hits.groupBy("slot", "fraction", "place").agg(low.alias("low"), high.alias("high")).select(
+        F.element_at(names, F.col("slot") + 1).alias("column"),
         "fraction",
-        (
-            F.col("low")
-            + (F.col("high") - F.col("low")) * (F.col("place") - F.floor("place"))
-        ).alias("value"),
+        F.when(F.col("low") == F.col("high"), F.col("low"))
+        .otherwise(F.col("low") + (F.col("high") - F.col("low")) * (F.col("place") - F.floor("place")))
+        .alias("value"),
     )
 
 
-def _quartiles(df: DataFrame, column: str, bins: int, edges: list[float] | None = None) -> DataFrame:
-    """One row ``q1, q2, q3``."""
-    found = quantiles(df, column, QUARTILES, bins, edges)
-    return found.agg(
+def _places(fractions: tuple[float, ...], sizes: dict) -> list[tuple]:
+    """``slot, bin, rows before the bin, fraction, place, row at it`` of both rows around every wanted place."""
+    out = []
+    for slot in sorted({slot for slot, _ in sizes}):
+        total = sum(n for (s, _), n in sizes.items() if s == slot)
+        for fraction in fractions:
+            place = float(fraction) * (total - 1)
+            for at in sorted({floor(place), ceil(place)}):
+                before = 0
+                for (s, bin_), n in sorted(sizes.items()):
+                    if s == slot:
+                        if at < before + n:
+                            out.append((slot, bin_, before, float(fraction), place, at))
+                            break
+                        before += n
+    return out
+
+
+def _refined(held: DataFrame, places: list[tuple], most: int) -> tuple[DataFrame, list[tuple]]:
+    """Cut bins of more than ``most`` different values again and keep the parts with a wanted place."""
+    while True:
+        rows = held.groupBy("slot", "bin").agg(F.count(F.lit(1)).alias("values")).where(F.col("values") > most)
+        large = {(r["slot"], r["bin"]) for r in rows.collect()}
+        if not large:
+            return held, places
+        fractions = [i / SUB_BINS for i in range(1, SUB_BINS)]
+        edges = held.join(F.broadcast(rows.select("slot", "bin")), ["slot", "bin"]).groupBy("slot", "bin").agg(
+            F.percentile_approx("v", fractions, 100 * SUB_BINS).alias("edges")
+        )
+        part = F.coalesce(F.size(F.filter("edges", lambda e: e < F.col("v"))).cast("string"), F.lit(""))
+        cut = held.join(F.broadcast(edges), ["slot", "bin"], "left").withColumn(
+            "bin", F.when(F.col("edges").isNull(), F.col("bin")).otherwise(F.concat_ws(".", "bin", F.lpad(part, 3, "0")))
+        ).select("slot", "bin", "v", "n")
+        cut = cut_lineage(cut)
+        sizes = {(r["slot"], r["bin"]): r["n"] for r in cut.groupBy("slot", "bin").agg(F.sum("n").alias("n")).collect()}
+        moved = []
+        for slot, bin_, before, fraction, place, at in places:
+            if (slot, bin_) in large:
+                for (s, part_of), n in sorted(sizes.items()):
+                    if s == slot and part_of.rpartition(".")[0] == bin_:
+                        if at < before + n:
+                            bin_ = part_of
+                            break
+                        before += n
+            moved.append((slot, bin_, before, fraction, place, at))
+        places = moved
+        spark = held.sparkSession
+        kept = spark.createDataFrame(sorted({p[:2] for p in places}), "slot int, bin string")
+        held = cut_lineage(cut.join(F.broadcast(kept), ["slot", "bin"]))
+
+
+def quantiles(
+    df: DataFrame, column: str, fractions: tuple[float, ...] = QUARTILES, bins: int = 1000, most: int = MOST_IN_A_BIN
+) -> DataFrame:
+    """Exact, linearly interpolated quantiles of one column: ``fraction, value``."""
+    return quantile_table(df, [column], fractions, bins, most).select("fraction", "value")
+
+
+def _quartiles(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
+    """``column, q1, q2, q3`` of the columns that have numbers."""
+    found = quantile_table(df, columns, QUARTILES, bins)
+    return found.groupBy("column").agg(
         *[
             F.max(F.when(F.col("fraction") == fraction, F.col("value"))).alias(name)
             for fraction, name in zip(QUARTILES, ("q1", "q2", "q3"))
@@ -139,52 +233,50 @@ def describe(df: DataFrame, columns: list[str], bins: int = 1000) -> DataFrame:
 
     Nulls and NaN are left out; a column without numbers has count 0 and nulls.
     """
-    edges = _bin_edges(df, columns, bins)
-    basic, rows = [], []
+    basic = []
     for column in columns:
         c = _number(column)
-        basic += [
+        basic.append(
             F.struct(
+                F.lit(column).alias("column"),
                 F.count(c).alias("count"),
                 F.round(F.avg(c), 6).alias("mean"),
                 F.round(F.stddev_samp(c), 6).alias("std"),
                 F.min(c).alias("min"),
                 F.max(c).alias("max"),
             ).alias(column)
-        ]
-        box = _quartiles(df, column, bins, edges[column]).select(F.struct("q1", "q2", "q3")).scalar()
-        rows += [
+        )
+    rows = df.agg(*basic).select(F.inline(F.array(*[F.col(f"`{c}`") for c in columns])))
+    boxes = _quartiles(df, columns, bins)
+    return rows.join(F.broadcast(boxes), "column", "left").select(  # a row for each column
+        "column", "count", "mean", "std", "min", *[F.round(q, 6).alias(q) for q in ("q1", "q2", "q3")], "max"
+    )
+
+
+def box_table(df: DataFrame, columns: list[str], bins: int = 1000) -> DataFrame:
+    """Per column the quartiles, whiskers (last value within 1.5 interquartile ranges) and outliers."""
+    boxes = {r["column"]: r for r in _quartiles(df, columns, bins).collect()}
+    parts = []
+    for column in columns:
+        c = _number(column)
+        quartile = [boxes[column][q] if column in boxes else None for q in ("q1", "q2", "q3")]
+        q1, _, q3 = quartile
+        within = c.between(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) if column in boxes else F.lit(False)
+        parts.append(
             F.struct(
                 F.lit(column).alias("column"),
-                *[F.col(column)[name].alias(name) for name in ("count", "mean", "std", "min")],
-                *[F.round(box[name], 6).alias(name) for name in ("q1", "q2", "q3")],
-                F.col(column)["max"].alias("max"),
-            )
-        ]
-    return df.agg(*basic).select(F.inline(F.array(*rows)))
+                *[F.round(F.lit(v).cast("double"), 6).alias(q) for q, v in zip(("q1", "q2", "q3"), quartile)],
+                F.min(F.when(within, c)).alias("whisker_low"),
+                F.max(F.when(within, c)).alias("whisker_high"),
+                F.count_if(c.isNotNull() & ~within).alias("outliers"),
+            ).alias(column)
+        )
+    return df.agg(*parts).select(F.inline(F.array(*[F.col(f"`{c}`") for c in columns])))
 
 
 def box_stats(df: DataFrame, column: str, bins: int = 1000) -> DataFrame:
-    """Quartiles, whiskers (last value within 1.5 interquartile ranges) and outliers."""
-    quartile = _quartiles(df, column, bins)
-    spread = F.col("q3") - F.col("q1")
-    fences = quartile.select(
-        F.struct(
-            "q1",
-            "q2",
-            "q3",
-            (F.col("q1") - 1.5 * spread).alias("low"),
-            (F.col("q3") + 1.5 * spread).alias("high"),
-        ).alias("box")
-    ).scalar()
-    rows = df.select(_number(column).alias("v"), fences.alias("box")).where(F.col("v").isNotNull())
-    within = F.col("v").between(F.col("box.low"), F.col("box.high"))
-    return rows.agg(
-        *[F.round(F.max(F.col(f"box.{q}")), 6).alias(q) for q in ("q1", "q2", "q3")],
-        F.min(F.when(within, F.col("v"))).alias("whisker_low"),
-        F.max(F.when(within, F.col("v"))).alias("whisker_high"),
-        F.count_if(~within).alias("outliers"),
-    )
+    """``box_table`` of one column, without its name."""
+    return box_table(df, [column], bins).drop("column")
 
 
 def key_overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -381,3 +381,56 @@ def test_describe_takes_nan_infinity_and_empty_columns(spark):
     assert profile.describe(df.where("false"), ["a"]).first()["count"] == 0
     assert profile.box_stats(df, "b").first()["outliers"] == 0
     assert profile.box_stats(df, "c").first()["q1"] is None
+
+
+def plain_quantile(values, fraction):
+    values = sorted(values)
+    place = fraction * (len(values) - 1)
+    low, high = values[math.floor(place)], values[math.ceil(place)]
+    return low + (high - low) * (place - math.floor(place))
+
+
+@pytest.mark.parametrize("bins, most, sub", [(1000, 1 << 20, 256), (4, 50, 3), (2, 1, 2)])
+def test_quantiles_of_all_columns(spark, monkeypatch, bins, most, sub):
+    """Also with more different values than the bins of one round can hold."""
+    monkeypatch.setattr(profile, "SUB_BINS", sub)
+    rng = random.Random(4)
+    rows = [(rng.random(), float(rng.randrange(5)), rng.choice([None, -1.5, 7.0]), None, float(i * i % 997)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
+    fractions = (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
+    got = {(r["column"], r["fraction"]): r["value"] for r in profile.quantile_table(df, list("abcde"), fractions, bins, most).collect()}
+    expected = {}
+    for i, name in enumerate("abcde"):
+        values = [r[i] for r in rows if r[i] is not None]
+        expected |= {(name, fraction): plain_quantile(values, fraction) for fraction in fractions if values}
+    assert got.keys() == expected.keys()
+    assert all(got[k] == pytest.approx(expected[k], abs=1e-12) for k in got)
+
+
+def test_profiles_read_the_table_as_often_for_many_columns(spark, tmp_path):
+    rng = random.Random(4)
+    names = [f"x{i}" for i in range(8)]
+    spark.createDataFrame([tuple(rng.random() for _ in names) for _ in range(200)], ", ".join(f"{n} double" for n in names)).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    jobs = {}
+    for run in (profile.describe, profile.box_table):
+        for number in (1, 8):
+            group = f"{run.__name__}{number}"
+            spark.sparkContext.setJobGroup(group, group)
+            assert run(df, names[:number]).count() == number
+            jobs[group] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs["describe1"] == jobs["describe8"] and jobs["box_table1"] == jobs["box_table8"]
+
+
+def test_distinct_counts_copy_no_rows(spark):
+    rng = random.Random(4)
+    day = dt.date(1969, 12, 1)
+    rows = [(day + dt.timedelta(days=rng.randrange(90)), rng.choice([None, "a", "b", ""]), rng.randrange(40), rng.random() < 0.5, None) for _ in range(900)]
+    df = spark.createDataFrame(rows, "d date, s string, i long, b boolean, n string")
+    found = profile.distinct_counts(df, list("dsibn"))
+    expected = {c: len({r[k] for r in rows} - {None}) for k, c in enumerate("dsibn")}
+    assert {r["column"]: r["n_distinct"] for r in found.collect()} == expected
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in text and "bitmap_construct_agg" in text
+    assert {r["n_distinct"] for r in profile.distinct_counts(df.limit(0), list("dsibn")).collect()} == {0}

@@ -67,27 +67,32 @@ def attach_predictions(population: DataFrame, predictions: DataFrame) -> DataFra
 
 
 def segment_items(
-    segments: DataFrame, popular: DataFrame, max_segments: int | None = None
+    segments: DataFrame, popular: DataFrame, max_segments: int | None = None, flag: str | None = None
 ) -> DataFrame:
-    """Each customer with the popular list of their segment: ``customer_id, rank, article_id``."""
-    lists = to_lists(popular, "segment")
+    """Each customer with the popular list of their segment: ``customer_id, rank, article_id``.
+
+    ``flag`` is a column of ``popular`` that goes along.
+    """
+    carried = [flag] if flag else []
+    short = popular.where(F.col("rank") <= LIST_LENGTH)
+    lists = short.groupBy("segment").agg(F.array_sort(F.collect_list(F.struct("rank", "article_id", *carried))).alias("items"))
     attached = attach_segment_list(segments, lists, "segment", max_segments)
-    return attached.select(
-        "customer_id", F.posexplode("items").alias("_pos", "article_id")
-    ).select(
-        "customer_id", (F.col("_pos") + 1).cast("bigint").alias("rank"), "article_id"
+    return attached.select("customer_id", F.posexplode("items").alias("_pos", "_item")).select(
+        "customer_id", (F.col("_pos") + 1).cast("bigint").alias("rank"), *[F.col(f"_item.{c}").alias(c) for c in ("article_id", *carried)]
     )
 
 
 def blend(
-    lists: list[DataFrame], weights: list[float] | None = None, k: int = LIST_LENGTH
+    lists: list[DataFrame], weights: list[float] | None = None, k: int = LIST_LENGTH, flag: str | None = None
 ) -> DataFrame:
     """Weighted reciprocal-rank blend of ranked long lists.
 
     An item scores ``weight / rank`` in every place it appears; lists with a
     negative weight are left out. Ties go to the item that appears first, in the
-    order of the lists. Columns: ``customer_id, rank, article_id, score``.
+    order of the lists. Columns: ``customer_id, rank, article_id, score``, and
+    ``flag``, a column of all lists, which is the same for an item wherever it appears.
     """
+    carried = [flag] if flag else []
     weights = weights or [1.0] * len(lists)
     # List number and rank in one number: the first place sorts and aggregates as a long.
     parts = [
@@ -96,6 +101,7 @@ def blend(
             "article_id",
             (F.lit(i << 40) + F.col("rank")).alias("_place"),
             (F.lit(float(weight)) / F.col("rank")).alias("_part"),
+            *carried,
         )
         for i, (ranked, weight) in enumerate(zip(lists, weights))
         if weight >= 0
@@ -106,10 +112,11 @@ def blend(
     scores = rows.groupBy("customer_id", "article_id").agg(
         F.round(F.sum("_part"), SCORE_DIGITS).alias("score"),
         F.min("_place").alias("_first"),
+        *[F.max(c).alias(c) for c in carried],
     )
     order = [F.desc("score"), F.asc("_first")]
     return top_per_group(scores, ["customer_id"], order, k).select(
-        "customer_id", "rank", "article_id", "score"
+        "customer_id", "rank", "article_id", "score", *carried
     )
 
 
@@ -122,6 +129,16 @@ def prune(ranked: DataFrame, allowed: DataFrame, k: int = LIST_LENGTH) -> DataFr
     )
 
 
+def pruned_lists(ranked: DataFrame, flag: str, k: int = LIST_LENGTH, name: str = "items") -> DataFrame:
+    """One array per customer of the first ``k`` items whose ``flag`` is true, from a blend's rows.
+
+    The rows are grouped as the blend left them, without another shuffle.
+    """
+    entries = F.array_sort(F.collect_list(F.struct("rank", "article_id", flag)))
+    kept = F.transform(F.filter(entries, lambda e: e[flag]), lambda e: e["article_id"])
+    return ranked.groupBy("customer_id").agg(F.slice(kept, 1, k).alias(name))
+
+
 def list_length_hist(lists: DataFrame, items: str = "items") -> DataFrame:
     return lists.groupBy(F.size(items).cast("bigint").alias("length")).agg(
         F.count(F.lit(1)).alias("n")

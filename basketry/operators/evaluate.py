@@ -101,8 +101,9 @@ def window_sweep(
 ) -> DataFrame:
     """Score "history plus popular" for many training windows, which may overlap.
 
-    All windows are scored together: rows carry the number of each window they
-    fall into, and every step has that number as one more key.
+    All windows are scored together. Rows are counted per set of windows that hold
+    their day, so that no row is copied before the shuffle, however many windows
+    overlap; each customer's counts then go to their windows where they are.
     """
     starts = [as_date(start) for start, _ in windows]
     ends = [as_date(end) for _, end in windows]
@@ -119,11 +120,15 @@ def window_sweep(
     for start, end in zip(starts, ends):
         hit = (t >= start) & (t < end)
         inside = hit if inside is None else inside | hit
-    tagged = tx.where(inside).withColumn("window_no", F.explode(matching))
+    held = tx.where(inside).withColumn("windows", matching)
 
-    pair = tagged.groupBy("window_no", "customer_id", "article_id").agg(
+    counts = held.groupBy("customer_id", "article_id", "windows").agg(
         F.count(F.lit(1)).alias("n"), F.min("t_dat").alias("first_dat")
     )
+    spread = counts.repartition("customer_id").withColumn("window_no", F.explode("windows"))
+    pair = spread.groupBy("window_no", "customer_id", "article_id").agg(
+        F.sum("n").alias("n"), F.min("first_dat").alias("first_dat")
+    )
     history = top_per_group(pair, ["window_no", "customer_id"], frequent_first(), k)
     own = history.groupBy("window_no", "customer_id").agg(
         F.transform(
@@ -131,7 +136,8 @@ def window_sweep(
             lambda e: e["article_id"],
         ).alias("own")
     )
-    daily = tagged.groupBy("window_no", "article_id", "t_dat").agg(F.count(F.lit(1)).alias("n"))
+    daily = held.groupBy("article_id", "t_dat", "windows").agg(F.count(F.lit(1)).alias("n"))
+    daily = daily.repartition("article_id").withColumn("window_no", F.explode("windows"))
     scores = daily.groupBy("window_no", "article_id").agg(
         F.round(F.sum(F.col("n") * inverse_days(day_diff(ref, "t_dat"))), SCORE_DIGITS).alias(
             "score"

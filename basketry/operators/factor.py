@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import itertools
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from basketry.functions.keys import LIST_LENGTH
 from basketry.operators.combine import list_literal, population_lists, to_lists
 from basketry.operators.evaluate import map_at_k
 from basketry.operators.history import history_items
+from basketry.operators.inner import best_items
 from basketry.operators.popularity import article_counts, top_k_global
 from basketry.operators.skew import join_totals, positions, top_per_group
 from basketry.operators.windows import date_window, temporal_split
@@ -139,18 +142,17 @@ def als_items(
 ) -> DataFrame:
     """Top ``k`` articles by implicit-feedback ALS: ``customer_id, rank, article_id``.
 
-    Bought articles may come back. Only customers with factors get rows. Scoring
-    every article for every wanted customer is what the model is asked for;
-    Spark ML does it block by block and keeps ``k`` per customer and block.
+    Bought articles may come back. Only customers with factors get rows. Articles
+    that cannot be among a customer's best by their norm are not scored.
     """
     model = _als(data.ratings, settings, implicitPrefs=True, coldStartStrategy="drop").fit(
         data.ratings
     )
     wanted = data.users.join(population.select("customer_id"), "customer_id", "left_semi")
-    best = model.recommendForUserSubset(wanted.select("user"), k)
-    exploded = best.select("user", F.posexplode("recommendations").alias("_pos", "_rec"))
+    users = model.userFactors.join(wanted, F.col("id") == F.col("user")).select("id", "features")
+    best = best_items(users, model.itemFactors, k)
     return (
-        exploded.select("user", (F.col("_pos") + 1).alias("rank"), F.col("_rec.item").alias("item"))
+        best.select(F.col("id").alias("user"), "rank", "item")
         .join(data.items, "item")
         .join(data.users, "user")
         .select("customer_id", "rank", "article_id")
@@ -192,21 +194,29 @@ def grid_search(
     cut: DateLike,
     grid: list[FactorSettings] | None = None,
     k: int = LIST_LENGTH,
+    parallel: int = 4,
 ) -> DataFrame:
     """Score of every setting of the grid, with the first best one marked.
 
     The hold-out is split by time, so each setting is one fit on the same
-    training rows; only one number per setting comes to the driver.
+    training rows, which are numbered and written once; only one number per
+    setting comes to the driver. ``parallel`` fits run at the same time, each in a
+    scheduler pool of its own, so that one fills the cores that another's last
+    tasks leave; sessions with ``spark.scheduler.mode=FAIR`` share evenly.
     """
     grid = full_grid() if grid is None else grid
     train, valid = temporal_split(tx.select("t_dat", "customer_id", "article_id"), cut)
     train, valid = cut_lineage(train), cut_lineage(valid)
     buyers = valid.select("customer_id").distinct()
     data = purchase_ratings(train)
-    scores = [
-        map_at_k(valid, als_lists(train, buyers, settings, k, data), k).first()["map"]
-        for settings in grid
-    ]
+    spark = tx.sparkSession
+
+    def score(number: int) -> float:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{number}")
+        return map_at_k(valid, als_lists(train, buyers, grid[number], k, data), k).first()["map"]
+
+    with ThreadPoolExecutor(parallel) as threads:
+        scores = list(threads.map(inheritable_thread_target(spark)(score), range(len(grid))))
     best = max(range(len(grid)), key=lambda i: scores[i])
     rows = [
         (s.rank, s.iterations, s.regularization, score, i == best)

@@ -163,6 +163,11 @@ def weekly_article_counts(tx: DataFrame, last: DateLike, days: int = 7) -> DataF
     )
 
 
+def weekly_of_daily(daily: DataFrame, last: DateLike, days: int = 7) -> DataFrame:
+    """``weekly_article_counts`` from counts per day, such as ``update_daily_counts`` keeps."""
+    return daily.groupBy(week_bucket("t_dat", last, days).alias("week_end"), "article_id").agg(F.sum("n").alias("n"))
+
+
 def with_weekly_counts(tx: DataFrame, last: DateLike, days: int = 7) -> DataFrame:
     """Every row with ``week_end``, the count ``n`` of its week and the last week's ``n_targ``."""
     weekly = weekly_article_counts(tx, last, days)

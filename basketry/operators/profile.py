@@ -16,6 +16,8 @@ from basketry.sources.lineage import cut_lineage
 QUARTILES = (0.25, 0.5, 0.75)
 # Different values of a quantile bin that one task sorts; parts that a larger one is cut into.
 MOST_IN_A_BIN, SUB_BINS = 1 << 20, 256
+# Cells of the sketch that finds frequent n-grams.
+SKETCH_CELLS = 1 << 20
 # Types whose few possible values are numbers by themselves: their bitmaps are small.
 NUMBERED_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.DateType)
 
@@ -309,10 +311,8 @@ def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def ngram_counts(
-    df: DataFrame, text: str, n: int = 1, stop_words: list[str] | None = None
-) -> DataFrame:
-    """``ngram, n`` over whole texts in lower case; stop words leave before n-grams form."""
+def _ngrams_of(df: DataFrame, text: str, n: int, stop_words: list[str] | None) -> DataFrame:
+    """All n-grams of whole texts, one row each."""
     words = df.select(tokens(text, lower=True).alias("words")).where(F.col("words").isNotNull())
     if stop_words:
         words = (
@@ -320,18 +320,35 @@ def ngram_counts(
             .transform(words)
             .select(F.col("kept").alias("words"))
         )
-    return (
-        words.select(F.explode(ngrams(F.col("words"), n)).alias("ngram"))
-        .groupBy("ngram")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return words.select(F.explode(ngrams(F.col("words"), n)).alias("ngram"))
+
+
+def ngram_counts(
+    df: DataFrame, text: str, n: int = 1, stop_words: list[str] | None = None
+) -> DataFrame:
+    """``ngram, n`` over whole texts in lower case; stop words leave before n-grams form."""
+    return _ngrams_of(df, text, n, stop_words).groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_ngrams(
-    df: DataFrame, text: str, n: int = 1, k: int = 20, stop_words: list[str] | None = None
+    df: DataFrame, text: str, n: int = 1, k: int = 20, stop_words: list[str] | None = None, cells: int = SKETCH_CELLS
 ) -> DataFrame:
-    """The ``k`` most frequent n-grams, ties in alphabetical order."""
-    counts = ngram_counts(df, text, n, stop_words)
+    """The ``k`` most frequent n-grams, ties in alphabetical order; exact, without shuffling all n-grams.
+
+    A first pass counts hash cells, ``cells`` numbers in all, as one row of a count-min
+    sketch: no n-gram occurs more often than its cell. Of the fullest cells the
+    n-grams are counted; the ``k``-th of these is a bound, and all n-grams of cells that
+    reach it are counted in the last pass. Cells below it hold none of the ``k``. The
+    sketch is written to the checkpoint folder while the plan is made.
+    """
+    grams = _ngrams_of(df, text, n, stop_words).withColumn("cell", F.pmod(F.xxhash64("ngram"), F.lit(cells)))
+    sketch = cut_lineage(grams.groupBy("cell").agg(F.count(F.lit(1)).alias("full")))
+    fullest = sketch.orderBy(F.desc("full"), "cell").limit(2 * k)
+    some = grams.join(F.broadcast(fullest.select("cell")), "cell").groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
+    kth = some.orderBy(F.desc("n")).limit(k).agg(F.min("n"), F.count(F.lit(1))).first()
+    bound = kth[0] if kth[1] == k else 1
+    reaching = sketch.where(F.col("full") >= bound).select("cell")
+    counts = grams.join(F.broadcast(reaching), "cell").groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))  # ``cells`` at most
     return counts.orderBy(F.desc("n"), F.asc("ngram")).limit(k)
 
 

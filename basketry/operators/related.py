@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.dates import DateLike, week_bucket
+from basketry.functions.dates import DateLike, as_date, week_bucket
 from basketry.operators.popularity import article_counts, article_stats
 from basketry.operators.skew import join_keys, join_totals, numbered, positions, top_per_group
 from basketry.operators.windows import trailing_window
@@ -105,7 +105,11 @@ def variant_map(
     tx: DataFrame, articles: DataFrame, last: DateLike, days: int = 6
 ) -> DataFrame:
     """Sold article to the best-selling other article of its product in the trailing window."""
-    counts = article_counts(trailing_window(tx, last, days)).select(
+    return _variants(article_counts(trailing_window(tx, last, days)), articles)
+
+
+def _variants(sold: DataFrame, articles: DataFrame) -> DataFrame:
+    counts = sold.select(
         "article_id",
         F.col("n").alias("article_count"),
         F.lit(None).cast("double").alias("article_min_price"),
@@ -121,15 +125,34 @@ def map_list(items: DataFrame, mapping: DataFrame, to: str) -> DataFrame:
 
     ``items`` is ``(customer_id, rank, article_id)`` with lists of any length.
     """
-    mapped = join_totals(items, mapping, ["article_id"]).select(
-        "customer_id", F.col("rank").alias("_old"), F.col(to).alias("article_id")
+    mapped = join_totals(items, mapping, ["article_id"]).select("customer_id", "rank", F.col(to).alias("article_id"))
+    return renumbered(mapped).select("customer_id", "rank", "article_id")
+
+
+def renumbered(items: DataFrame) -> DataFrame:
+    """Lists ``(customer_id, rank, ...)`` of any length with gaps in their ranks closed."""
+    gapped = items.withColumnRenamed("rank", "_old")
+    buckets = {"_bucket": F.floor(F.col("_old") / LIST_BUCKET)}
+    return positions(gapped, ["customer_id"], buckets, [F.asc("_old")]).drop("_old")
+
+
+def still_sold(tx: DataFrame, articles: DataFrame, last: DateLike, sold_days: int, variant_days: int) -> DataFrame:
+    """``article_id, sold, variant_id, variant_sold`` of the articles of the trailing days, from one pass.
+
+    ``sold`` and ``variant_sold`` say whether the article and its best-selling variant
+    were sold in the last ``sold_days`` days; the variant is chosen by the sales of
+    ``variant_days``.
+    """
+    last_day = as_date(last)
+    trail = cut_lineage(
+        trailing_window(tx, last, max(sold_days, variant_days)).groupBy("article_id").agg(
+            F.max(F.col("t_dat") >= F.date_sub(last_day, sold_days)).alias("sold"),
+            F.count_if(F.col("t_dat") >= F.date_sub(last_day, variant_days)).alias("n"),
+        )
     )
-    return positions(
-        mapped,
-        ["customer_id"],
-        {"_bucket": F.floor(F.col("_old") / LIST_BUCKET)},
-        [F.asc("_old")],
-    ).select("customer_id", "rank", "article_id")
+    chosen = _variants(trail.where("n > 0"), articles)
+    of_variant = trail.select(F.col("article_id").alias("variant_id"), F.col("sold").alias("variant_sold"))
+    return trail.drop("n").join(join_totals(chosen, of_variant, ["variant_id"]), "article_id", "left")
 
 
 def variant_items(

@@ -14,7 +14,7 @@ from basketry.operators.combine import (
     list_literal,
     list_map_literal,
     population_lists,
-    prune,
+    pruned_lists,
     segment_items,
     to_lists,
 )
@@ -27,13 +27,12 @@ from basketry.operators.history import (
     stacked_history,
 )
 from basketry.operators.popularity import popular_items
-from basketry.operators.related import alternates, variant_items
+from basketry.operators.related import alternates, renumbered, still_sold
 from basketry.operators.skew import attach_segment_list, join_totals, top_per_group
 from basketry.operators.trend import trend_items, trend_popular
 from basketry.operators.windows import (
     WindowList,
     numbered_windows,
-    sold_articles,
     trailing_window,
 )
 from basketry.sources.lineage import cut_lineage
@@ -371,18 +370,34 @@ def blended(
     sold_days: int = SOLD_WITHIN_DAYS,
     k: int = LIST_LENGTH,
 ) -> DataFrame:
-    """Blend of last purchases, their variants and segment best sellers, pruned to what still sells."""
+    """Blend of last purchases, their variants and segment best sellers, pruned to what still sells.
+
+    Whether an article still sells is one flag per article, from a single table of
+    the trailing days. Lists get it with the lookup of variants, or while they are
+    still short, and carry it through the blend.
+    """
     past = tx.where(F.col("t_dat") <= as_date(last))
     bought = last_purchase_items(past, purchase_days).select("customer_id", "rank", "article_id")
     # Read twice below, and the only part that needs every row of the past.
     bought = cut_lineage(
         bought.join(population.select("customer_id"), "customer_id", "left_semi")
     )
-    lists = [bought, variant_items(bought, past, articles, last, variant_days)]
+    selling = cut_lineage(still_sold(past, articles, last, sold_days, variant_days))
+    looked_up = cut_lineage(join_totals(bought, selling, ["article_id"], "left"))
+    mapped = looked_up.where(F.col("variant_id").isNotNull())
+    lists = [
+        looked_up.select("customer_id", "rank", "article_id", F.coalesce("sold", F.lit(False)).alias("sold")),
+        renumbered(mapped.select("customer_id", "rank", F.col("variant_id").alias("article_id"), F.col("variant_sold").alias("sold"))),
+    ]
+
+    def flagged(best: DataFrame) -> DataFrame:
+        known = best.join(selling.select("article_id", "sold"), "article_id", "left")
+        return known.withColumn("sold", F.coalesce("sold", F.lit(False)))
+
     if by_channel:
         groups = popularity.population_channel_group(population, tx)
         best = popularity.segment_popular(past, groups, last, segment_days, k)
-        lists.append(segment_items(groups, best))
+        lists.append(segment_items(groups, flagged(best), flag="sold"))
     if by_age:
         groups = popularity.age_group(customers).join(
             population.select("customer_id"), "customer_id", "left_semi"
@@ -390,10 +405,8 @@ def blended(
         best = popularity.segment_popular(
             past, popularity.age_group(customers), last, segment_days, k
         )
-        lists.append(segment_items(groups, best, max_segments=len(popularity.AGE_EDGES)))
-    mixed = blend(lists, list(BLEND_WEIGHTS[: len(lists)]), BLEND_LENGTH)
-    kept = prune(mixed, sold_articles(past, last, sold_days), k)
-    lists = to_lists(kept, k=k)
+        lists.append(segment_items(groups, flagged(best), max_segments=len(popularity.AGE_EDGES), flag="sold"))
+    lists = pruned_lists(blend(lists, list(BLEND_WEIGHTS[: len(lists)]), BLEND_LENGTH, "sold"), "sold", k)
     return population.select("customer_id").join(lists, "customer_id", "left").select(
         "customer_id", list_fill("items", F.array().cast("array<string>"), k).alias("items")
     )

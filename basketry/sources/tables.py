@@ -144,6 +144,36 @@ def snapshot_by_month(
     )
 
 
+def snapshot_by_customer(tx: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Purchases as a table of the session's catalogue, bucketed and sorted by customer.
+
+    Its files are in ``path``, or in the warehouse.
+
+    Counting, ranking and list building per customer, and joins with another table of
+    as many buckets, then need no exchange of the purchases. A bucket is one task's
+    work, so choose enough of them; a customer with a large share of all rows
+    makes a large bucket, for which the plain snapshot is better.
+    """
+    writer = tx.write.mode("overwrite").bucketBy(buckets, "customer_id").sortBy("customer_id")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return tx.sparkSession.table(table)
+
+
+def update_daily_counts(tx: DataFrame, path: str) -> DataFrame:
+    """Rows per (day, article) in one folder per day, brought up to date with ``tx``.
+
+    Only the folders of the days in ``tx`` are written, each as a whole: give all
+    rows of a day. A late or repeated day replaces its folder, others keep
+    their files. Returns the counts of all days, ``t_dat, article_id, n``; weekly
+    counts are sums of them.
+    """
+    daily = tx.groupBy("t_dat", "article_id").agg(F.count(F.lit(1)).alias("n"))
+    spread = daily.repartition("t_dat", F.pmod(F.xxhash64("article_id"), F.lit(4)))
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("t_dat").parquet(path)
+    read = tx.sparkSession.read.schema("article_id string, n long, t_dat date").parquet(path)
+    return read.select("t_dat", "article_id", "n")
+
+
 def write_intermediate(df: DataFrame, path: str) -> DataFrame:
     """Derived table with its keys, such as weekly sales or a popular list."""
     return snapshot(df, path)

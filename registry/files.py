@@ -6,13 +6,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from basketry.operators import combine, evaluate, profile, related
+from basketry.operators import combine, evaluate, popularity, profile, related
 from basketry.plans import recommend
 from basketry.sources import tables
 from basketry.sources.lineage import ensure_checkpoint_dir
 from registry import fragments as f
 from registry.base import query
 from registry.fixtures import CLICKS_LAST, CLICKS_WINDOWS, clicks, clicks_sql, retail, retail_sql
+from registry.recommenders import pairs_sql
 
 W1, W2, *_ = CLICKS_WINDOWS
 
@@ -65,7 +66,9 @@ def read_population(spark, sf_dir):
     return tables.read_population(spark, _csv(everyone.withColumn("prediction", F.lit(""))))
 
 
-HISTORY_SQL = clicks_sql("SELECT customer_id, 12 AS items FROM population")
+HISTORY_SQL = clicks_sql(
+    ",".join([f.history("own", W2[0], W1[1]), f.popular("pop", W2[0], W1[1]), f.cut([f.own("own"), f.fill("pop")])]) + f.PREDICTIONS
+)
 
 
 def _predictions(spark, sf_dir):
@@ -78,9 +81,8 @@ def _predictions(spark, sf_dir):
 
 @query("write_predictions", HISTORY_SQL)
 def write_predictions(spark, sf_dir):
-    """Everyone has a row of twelve ids in the file."""
-    _, back = _predictions(spark, sf_dir)
-    return back.select("customer_id", F.size(F.split("prediction", " ")).alias("items"))
+    """The rows of the file."""
+    return _predictions(spark, sf_dir)[1]
 
 
 @query("submission_check", "SELECT 0 AS missing, 0 AS unknown, 0 AS repeated FROM (SELECT count(*) FROM events)")
@@ -89,6 +91,23 @@ def submission_check(spark, sf_dir):
     return evaluate.submission_check(back, shop.population)
 
 
+@query(
+    "submission_check_faults",
+    clicks_sql(
+        """ends AS (SELECT min(customer_id) AS low, max(customer_id) AS high FROM population)
+        SELECT count(*) FILTER (WHERE customer_id = low) AS missing, 1::BIGINT AS unknown,
+               count(*) FILTER (WHERE customer_id = high) AS repeated FROM population, ends"""
+    ),
+)
+def submission_check_faults(spark, sf_dir):
+    """A file without the first customer, with the last one twice and one that nobody knows."""
+    shop, back = _predictions(spark, sf_dir)
+    low, high = back.agg(F.min("customer_id"), F.max("customer_id")).first()
+    faulty = back.where(F.col("customer_id") != low).unionByName(back.where(F.col("customer_id") == high))
+    stranger = back.where(F.col("customer_id") == high).withColumn("customer_id", F.lit("nobody"))
+    return evaluate.submission_check(faulty.unionByName(stranger), shop.population)
+
+
 @query(
     "write_intermediate",
     clicks_sql("SELECT customer_id, article_id, count(*) AS n FROM tx GROUP BY 1, 2"),
@@ -100,23 +119,48 @@ def write_intermediate(spark, sf_dir):
 
 @query(
     "read_pairs",
-    clicks_sql(
-        f"""last AS (SELECT DISTINCT customer_id, article_id, {f.bucket(CLICKS_LAST, 7)} AS week_end FROM tx),
-        paired AS (SELECT DISTINCT a.article_id FROM last a JOIN last b
-                   ON a.customer_id = b.customer_id AND a.week_end = b.week_end AND a.article_id <> b.article_id)
-        SELECT article_id, TRUE AS has_partner FROM paired"""
-    ),
+    clicks_sql(pairs_sql(CLICKS_LAST, 7) + " SELECT article_id, article_id2 FROM pairs"),
 )
 def read_pairs(spark, sf_dir):
     path = _folder(spark)
     related.copurchase_pairs(clicks(spark, sf_dir).tx, CLICKS_LAST).write.parquet(path)
-    return tables.read_pairs(spark, path).select("article_id", F.col("article_id2").isNotNull().alias("has_partner"))
+    return tables.read_pairs(spark, path)
 
 
-@query("table_overview", clicks_sql("SELECT count(*) AS n_rows, 5 AS n_columns, least(count(*), 5) AS n_head FROM tx"))
+@query(
+    "table_overview",
+    clicks_sql(
+        """SELECT article_id, CAST(n AS BIGINT) AS n, count(*) OVER () AS n_rows, 2 AS n_columns,
+               'struct<article_id:string,n:bigint>' AS table_schema
+        FROM (SELECT article_id, count(*) AS n FROM tx GROUP BY 1) ORDER BY article_id LIMIT 5"""
+    ),
+)
 def table_overview(spark, sf_dir):
-    tx = clicks(spark, sf_dir).tx
-    seen = profile.table_overview(tx)
-    return seen["head"].agg(
-        F.lit(seen["rows"]).cast("long").alias("n_rows"), F.lit(seen["columns"]).alias("n_columns"), F.count("*").alias("n_head")
+    counts = popularity.article_counts(clicks(spark, sf_dir).tx).orderBy("article_id")
+    seen = profile.table_overview(counts)
+    return seen["head"].select(
+        "article_id",
+        "n",
+        F.lit(seen["rows"]).cast("long").alias("n_rows"),
+        F.lit(seen["columns"]).alias("n_columns"),
+        F.lit(seen["schema"]).alias("table_schema"),
     )
+
+
+@query(
+    "weekly_counts_incremental",
+    clicks_sql(f"SELECT {f.bucket(CLICKS_LAST, 7)} AS week_end, article_id, count(*) AS n FROM tx GROUP BY 1, 2"),
+)
+def weekly_counts_incremental(spark, sf_dir):
+    """Days arrive in two parts, the first one cut short, and some twice."""
+    tx, path = clicks(spark, sf_dir).tx, _folder(spark)
+    tables.update_daily_counts(tx.where((F.col("t_dat") < F.lit(W1[0])) | (F.col("sales_channel_id") == 1)), path)
+    counts = tables.update_daily_counts(tx.where(F.col("t_dat") >= F.lit(W2[0])), path)
+    return popularity.weekly_of_daily(counts, CLICKS_LAST)
+
+
+@query("history_fill_bucketed", HISTORY_SQL)
+def history_fill_bucketed(spark, sf_dir):
+    shop = clicks(spark, sf_dir)
+    tx = tables.snapshot_by_customer(shop.tx, f"purchases_{uuid.uuid4().hex}", 8, _folder(spark))
+    return combine.to_predictions(recommend.history_fill(tx, shop.population, W2[0], W1[1]))

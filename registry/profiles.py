@@ -10,7 +10,7 @@ from basketry.functions.text import tokens
 from basketry.operators import profile
 from basketry.operators.star import star_join
 from registry.base import query
-from registry.fixtures import clicks, clicks_sql, documents, retail, retail_sql
+from registry.fixtures import clicks, clicks_sql, documents, retail, retail_sql, table
 
 TABLE_COLUMNS = {
     "tx": ["t_dat", "customer_id", "article_id", "price", "sales_channel_id"],
@@ -133,6 +133,24 @@ def box_stats(spark, sf_dir):
     return profile.box_stats(retail(spark, sf_dir).tx, "price")
 
 
+def _box_sql(column: str, source: str) -> str:
+    return f"""SELECT '{column}' AS "column", round(any_value(q1), 6) AS q1, round(any_value(q2), 6) AS q2, round(any_value(q3), 6) AS q3,
+      min(v) FILTER (WHERE v BETWEEN low AND high) AS whisker_low, max(v) FILTER (WHERE v BETWEEN low AND high) AS whisker_high,
+      count(*) FILTER (WHERE NOT v BETWEEN low AND high) AS outliers
+    FROM (SELECT CAST({column} AS DOUBLE) AS v FROM {source}) t, (
+      SELECT *, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FROM (
+        SELECT quantile_cont({column}::DOUBLE, 0.25) AS q1, quantile_cont({column}::DOUBLE, 0.5) AS q2,
+               quantile_cont({column}::DOUBLE, 0.75) AS q3 FROM {source})) q"""
+
+
+LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_suppkey"]
+
+
+@query("box_table", " UNION ALL ".join(_box_sql(c, "lineitem") for c in LINE_NUMBERS))
+def box_table(spark, sf_dir):
+    return profile.box_table(table(spark, sf_dir, "lineitem"), LINE_NUMBERS)
+
+
 def _overlap_sql(left, right, key):
     return f"""
 l AS (SELECT DISTINCT {key} FROM {left}), r AS (SELECT DISTINCT {key} FROM {right})

@@ -130,7 +130,7 @@ def alternate_single_sibling(spark, sf_dir):
     )
 
 
-def _pairs_sql(last, days) -> str:
+def pairs_sql(last, days) -> str:
     return f"""
 baskets AS (SELECT DISTINCT customer_id, {f.bucket(last, days)} AS week_end, article_id FROM tx),
 common AS (SELECT article_id, count(*) AS baskets FROM baskets GROUP BY 1),
@@ -146,7 +146,7 @@ pairs AS (
 
 @query(
     "copurchase_pairs",
-    retail_sql(_pairs_sql(RETAIL_LAST, RETAIL_DAYS) + " SELECT article_id, article_id2, n FROM pairs"),
+    retail_sql(pairs_sql(RETAIL_LAST, RETAIL_DAYS) + " SELECT article_id, article_id2, n FROM pairs"),
 )
 def copurchase_pairs(spark, sf_dir):
     return related.copurchase_pairs(retail(spark, sf_dir).tx, RETAIL_LAST, RETAIL_DAYS)
@@ -507,7 +507,7 @@ def reco_trend(spark, sf_dir):
     clicks_sql(
         ",".join(
             [
-                _pairs_sql(CLICKS_LAST, 7),
+                pairs_sql(CLICKS_LAST, 7),
                 LAST_WEEK_SQL,
                 f"""
 best AS (SELECT article_id, row_number() OVER (ORDER BY n DESC, article_id) AS rank

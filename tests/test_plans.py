@@ -6,9 +6,11 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from basketry.operators import combine, history, popularity, related, windows
+from basketry.operators import combine, evaluate, history, popularity, related, windows
 from basketry.plans import recommend
+from basketry.sources import tables
 
 LAST = dt.date(2020, 1, 28)
 
@@ -91,3 +93,35 @@ def test_popular_list_needs_no_join(stored):
 def test_counts_are_combined_before_the_shuffle(stored):
     tx, *_ = stored
     assert "partial_count" in plan(popularity.article_counts(tx))
+
+
+def test_only_the_population_is_joined_after_the_blend(stored):
+    text = plan(recommend.blended(*[stored[i] for i in (0, 2, 3, 1)], LAST))
+    above = text[: text.index("max(sold")]
+    assert above.count("Join") == 1 and above.count("Exchange") <= 2
+
+
+def test_windows_are_told_apart_after_the_shuffle(stored):
+    """Overlapping windows copy no rows: counts are shuffled once per customer, then go to their windows."""
+    tx, *_ = stored
+    ref = LAST - dt.timedelta(days=6)
+    for number in (1, 12):
+        sweep = [(ref - dt.timedelta(days=d + 1), ref) for d in range(number)]
+        text = plan(evaluate.window_sweep(tx, tx.where(F.col("t_dat") >= F.lit(ref)), sweep, ref))
+        generate = [m.start() for m in re.finditer(r"Generate explode\(windows", text)]
+        assert len(generate) == 2
+        for at in generate:
+            assert "REPARTITION_BY_COL" in text[at : at + 600].split("Exchange")[1]
+        assert len(re.findall(r"Exchange hashpartitioning\(customer_id", text)) <= 4
+
+
+def test_bucketed_purchases_are_not_shuffled(spark, stored):
+    tx, population, *_ = stored
+    table = "bucketed_purchases"
+    bucketed = tables.snapshot_by_customer(tx, table, 4)
+    window = windows.back_windows(LAST, 7, 1)[0]
+    found = recommend.history_fill(bucketed, population, *window)
+    text = plan(combine.to_lists(history.history_items(bucketed, *window)))
+    assert "Bucketed: true" in text and "Exchange" not in text
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, recommend.history_fill(tx, population, *window).collect()))
+    spark.sql(f"DROP TABLE {table}")

@@ -434,3 +434,47 @@ def test_distinct_counts_copy_no_rows(spark):
     text = found._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in text and "bitmap_construct_agg" in text
     assert {r["n_distinct"] for r in profile.distinct_counts(df.limit(0), list("dsibn")).collect()} == {0}
+
+
+@pytest.mark.parametrize("n, cells", [(1, 1 << 20), (1, 7), (2, 64), (2, 1)])
+def test_top_ngrams_equal_full_counts(spark, n, cells):
+    """Also with ties at the last place and cells that many n-grams share."""
+    rng = random.Random(cells)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(words[min(39, int(rng.expovariate(0.12)))] for _ in range(rng.randrange(30))) for _ in range(120)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "text string").repartition(4)
+    counts = defaultdict(int)
+    for t in texts:
+        w = t.split()
+        for i in range(len(w) - n + 1):
+            counts[" ".join(w[i : i + n])] += 1
+    for k in (1, 5, 20, 100_000):
+        expected = sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:k]
+        assert [(r["ngram"], r["n"]) for r in profile.top_ngrams(df, "text", n, k, cells=cells).collect()] == expected
+
+
+def test_top_ngrams_count_only_full_cells(spark):
+    df = spark.createDataFrame([("often " * 50 + " ".join(f"rare{i}" for i in range(2000)),)], "text string")
+    found = profile.top_ngrams(df, "text", 1, 1)
+    assert found.collect()[0]["n"] == 50
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.index("HashAggregate(keys=[ngram") < text.index("BroadcastHashJoin")  # cells are chosen before n-grams are shuffled
+    assert profile.top_ngrams(df.limit(0), "text", 1, 3).collect() == []
+
+
+def test_daily_counts_are_brought_up_to_date(spark, purchases, tmp_path):
+    from basketry.sources import tables
+
+    days = [LAST - dt.timedelta(days=d) for d in range(9)]
+    rng = random.Random(2)
+    rows = [(d, f"c{rng.randrange(5)}", f"a{rng.randrange(6)}") for d in days for _ in range(20)]
+    path = str(tmp_path / "daily")
+    tables.update_daily_counts(purchases(rows), path)
+    files = {f for f in (tmp_path / "daily").rglob("*.parquet") if str(days[0]) not in str(f) and str(days[3]) not in str(f)}
+    late = [(days[0], "c9", "a0"), (days[0], "c9", "a9")]
+    again = [r for r in rows if r[0] in (days[0], days[3])] + late
+    for _ in range(2):  # adding a day twice is adding it once
+        counts = tables.update_daily_counts(purchases(again), path)
+    expected = popularity.weekly_article_counts(purchases(rows + late), LAST)
+    assert set(map(tuple, popularity.weekly_of_daily(counts, LAST).collect())) == set(map(tuple, expected.collect()))
+    assert files and all(f.exists() for f in files)

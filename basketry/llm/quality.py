@@ -212,7 +212,8 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     """Fit on the sample; ``labels`` holds the rows that may teach.
 
     Null ids and labels are left out. If rows of one id disagree, the smallest
-    label counts. Without two classes, every score is the share of the class.
+    label counts; of several documents of an id the one of the smallest statistics
+    teaches. Without two classes, every score is the share of the class.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull())
     chosen = (
@@ -224,7 +225,8 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     sample = docs.join(F.broadcast(chosen), F.col(id_column) == F.col("__id")).select("__id", "__label", text)
     fields = [("__row", T.ArrayType(T.DoubleType()))]
     made = common.with_text_columns(sample, text, fields, lambda: lambda t: [list(statistics(t))], ["__id", "__label"])
-    rows = sorted(made.collect(), key=lambda r: (r["__id"], r["__row"]))  # a few numbers for SAMPLE_ROWS rows
+    one = made.groupBy("__id").agg(F.min("__label").alias("__label"), F.min("__row").alias("__row"))
+    rows = sorted(one.collect(), key=lambda r: r["__id"])  # a few numbers for SAMPLE_ROWS rows
     return fit(np.array([r["__row"] for r in rows]).reshape(-1, len(STATISTICS)), np.array([r["__label"] for r in rows], dtype=np.int64))
 
 

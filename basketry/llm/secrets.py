@@ -2,8 +2,10 @@
 
 Patterns propose candidates in every whole text. A candidate's value is kept as
 its hash only. Hashes are counted over the corpus by distinct repositories and
-owners: a value that several owners have is a copied example, one that a single
-owner has, and that looks random and is no placeholder, is taken for live.
+owners, and both counts decide: a value that several owners or many repositories
+have is a copied example, and so is a placeholder. A value that looks random, of one
+owner at most and few repositories, is taken for live. Nulls are unknown: they
+are no owner and no repository.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # a run of digits and a-f is one match, so s
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Parts of values that nobody would use as a secret.
 PLACEHOLDERS = re.compile(r"example|sample|dummy|change_?me|placeholder|your|xxxx|test|1234567|abcdef", re.IGNORECASE)
-#: From so many owners on, a value is an example.
-MANY_OWNERS = 3
+#: From so many owners or so many repositories on, a value is an example.
+MANY_OWNERS, MANY_REPOSITORIES = 2, 8
 LEAST_BITS = 2.5
 
 Span = tuple[str, int, int, int, int, str, bool]
@@ -93,26 +95,42 @@ def scan(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> Da
 def ownership(found: DataFrame, owner: str, repository: str) -> DataFrame:
     """Of each hash in ``candidates``: ``n_owners``, ``n_repositories`` and ``n_uses`` (longs).
 
-    Null owners count as one owner, null repositories as one repository. Uses are
+    Null owners and repositories are not counted, their uses are. Uses are
     summed per (hash, owner, repository) before each shuffle, so a value that a
     third of all rows hold arrives as one row from each task.
     """
     uses = found.select(F.col(owner).alias("o"), F.col(repository).alias("r"), F.explode("candidates.hash").alias("hash"))
     each = uses.groupBy("hash", "o", "r").agg(F.count("*").alias("n"))
     owners = each.groupBy("hash", "o").agg(F.count("*").alias("n_r"), F.sum("n").alias("n"))
-    by_owner = owners.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_uses"))
-    by_repository = each.groupBy("hash", "r").count().groupBy("hash").agg(F.count("*").alias("n_repositories"))
+    by_owner = owners.groupBy("hash").agg(F.count("o").alias("n_owners"), F.sum("n").alias("n_uses"))
+    by_repository = each.groupBy("hash", "r").count().groupBy("hash").agg(F.count("r").alias("n_repositories"))
     return by_owner.join(by_repository, "hash")
 
 
+def with_counts(each: DataFrame, counts: DataFrame) -> DataFrame:
+    """Candidates with the counts of their hashes.
+
+    One more key gives the counts an exchange of their own, so that adaptive
+    execution can split the rows of a hash that very many have.
+    """
+    spread = F.xxhash64("hash")
+    return each.withColumn("__spread", spread).join(counts.withColumn("__spread", spread), ["hash", "__spread"]).drop("__spread")
+
+
+def verdict_kind():
+    """Column: ``live`` or ``example``, for every pair of counts."""
+    copied = (F.col("n_owners") >= MANY_OWNERS) | (F.col("n_repositories") >= MANY_REPOSITORIES)
+    return F.when(~copied & F.col("random"), "live").otherwise("example")
+
+
 def find(
     df: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id", keep: list[str] | None = None
 ) -> DataFrame:
     """``candidates`` of every row and the ``verdicts`` on them.
 
     ``verdicts`` is an array of ``kind`` (``live`` or ``example``), ``start``,
-    ``end``, ``n_owners`` and ``n_repositories`` over the value's characters, for
-    each candidate that is either; others stay undecided. Columns ``keep`` (default:
+    ``end``, ``n_owners`` and ``n_repositories`` over the value's characters: one
+    for each different value and place of the candidates. Columns ``keep`` (default:
     all but the text) stay. The candidates, without texts, are written to the shared
     folder before they are counted. Repeated rows are uses of the same owner.
     """
@@ -127,10 +145,9 @@ def find(
     found = scan(source, "__scanned", [*kept, "__owner", "__repository"])
     found = cut(found.withColumn("__row", F.monotonically_increasing_id()))
     counts = ownership(found, "__owner", "__repository")
-    each = found.select("__row", F.explode("candidates").alias("c")).select("__row", "c.*").join(counts, "hash")
-    kind = F.when(F.col("n_owners") >= MANY_OWNERS, "example").when((F.col("n_owners") == 1) & F.col("random"), "live")
-    verdict = F.struct(kind.alias("kind"), F.col("value_start").alias("start"), F.col("value_end").alias("end"), "n_owners", "n_repositories")
-    judged = each.where(kind.isNotNull()).groupBy("__row").agg(F.collect_set(verdict).alias("v"))
+    each = with_counts(found.select("__row", F.explode("candidates").alias("c")).select("__row", "c.*"), counts)
+    verdict = F.struct(verdict_kind().alias("kind"), F.col("value_start").alias("start"), F.col("value_end").alias("end"), "n_owners", "n_repositories")
+    judged = each.groupBy("__row").agg(F.collect_set(verdict).alias("v"))
     order = F.array_sort("v", lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).when(a["end"] < b["end"], -1).when(a["end"] > b["end"], 1).otherwise(0))
     empty = F.array().cast("array<struct<kind:string,start:int,end:int,n_owners:bigint,n_repositories:bigint>>")
     return found.join(judged, "__row", "left").select(

@@ -9,8 +9,9 @@ few words in a long text are not averaged away. In training a toxic text teaches
 through its most toxic windows only, a clean one through all.
 
 The model is fitted on the driver on a bounded sample: at most ``SAMPLE_ROWS``
-labelled rows, taken in the order of a hash of their ids, and ``SAMPLE_WINDOWS``
-evenly spaced windows of each. Scoring reads all words of all texts.
+labelled rows, one document each, drawn by label in the order of a hash of their
+ids. Their texts are read whole. Probabilities are calibrated on texts that the model
+has not seen, scored as any other, and weighted by the labels' shares.
 """
 
 from __future__ import annotations
@@ -26,9 +27,8 @@ from pyspark.sql import types as T
 
 from basketry.llm import common
 
-#: Bounds of the training sample.
+#: Bound of the training sample.
 SAMPLE_ROWS = 2500
-SAMPLE_WINDOWS = 16
 #: Words in a window; windows of a scored text overlap by half.
 WINDOW = 24
 GRAMS = (3, 4, 5)
@@ -69,7 +69,7 @@ def normalise(texts: list[bytes]) -> np.ndarray:
 
 
 def _bucket(value: np.ndarray) -> np.ndarray:
-    return ((value * _MULTIPLIER) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+    return ((value * _MULTIPLIER) >> np.uint64(64 - BUCKET_BITS)).astype(np.uint16)
 
 
 def features(norm: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -147,8 +147,8 @@ def spans(norm: np.ndarray, n: int, step: int) -> tuple[list[np.ndarray], list[n
     return first, stop
 
 
-def window_bags(texts: list[bytes], most: int) -> list[list[np.ndarray]]:
-    """The buckets of ``most`` evenly spaced windows of every text."""
+def window_bags(texts: list[bytes]) -> list[list[np.ndarray]]:
+    """The buckets of the windows of every text, which here do not overlap."""
     norm = normalise(texts)
     found = list(features(norm))
     at = np.concatenate([a for a, _ in found])
@@ -158,19 +158,34 @@ def window_bags(texts: list[bytes], most: int) -> list[list[np.ndarray]]:
     first, stop = spans(norm, len(texts), WINDOW)
     out = []
     for a, b in zip(first, stop, strict=True):
-        chosen = np.unique(np.linspace(0, len(a) - 1, min(most, len(a))).round().astype(int)) if len(a) else []
-        low, high = np.searchsorted(at, a[chosen]), np.searchsorted(at, b[chosen])
+        low, high = np.searchsorted(at, a), np.searchsorted(at, b)
         out.append([bucket[x:y] for x, y in zip(low, high, strict=True)])
     return out
 
 
-def fit(bags: list[list[np.ndarray]], labels: np.ndarray) -> Model:
-    """Train on all bags; calibrate on logits of models that saw only the other half.
+def _pieces(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Consecutive texts of some bytes, one text at least."""
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text) > common.CHUNK_BYTES:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
 
-    The same data give the same model.
+
+def fit(texts: list[bytes], labels: np.ndarray, weights_of: np.ndarray | None = None) -> Model:
+    """Train on all texts; calibrate on scores of models that saw only the other half.
+
+    ``weights_of`` says how many rows each text stands for. The same data give the
+    same model.
     """
+    weights_of = np.ones(len(texts)) if weights_of is None else weights_of
+    bags = [bag for part in _pieces(texts) for bag in window_bags(part)]
     if len(set(labels.tolist())) < 2 or not any(bags):
-        rate = float(np.clip(labels.mean() if len(labels) else 0.0, 0.01, 0.99))
+        rate = float(np.clip(np.average(labels, weights=weights_of) if len(labels) else 0.0, 0.01, 0.99))
         return Model(np.zeros(1 << BUCKET_BITS), 0.0, 0.0, float(np.log(rate / (1 - rate))))
     half = np.zeros(len(bags), dtype=np.int64)
     for value in (0, 1):  # as many of either label in both halves
@@ -178,10 +193,11 @@ def fit(bags: list[list[np.ndarray]], labels: np.ndarray) -> Model:
     unseen = np.zeros(len(bags))
     for part in (0, 1):
         weights, bias = _fit([b for b, h in zip(bags, half, strict=True) if h != part], labels[half != part])
-        for i in np.flatnonzero(half == part):
-            unseen[i] = bias + max((float(weights[w].sum()) / max(len(w), LEAST) for w in bags[i]), default=0.0)
+        held = np.flatnonzero(half == part)
+        model = Model(weights, bias, 1.0, 0.0)
+        unseen[held] = np.concatenate([model.logits(p) for p in _pieces([texts[i] for i in held])])
     weights, bias = _fit(bags, labels)
-    return Model(weights, bias, *_calibrate(unseen, labels))
+    return Model(weights, bias, *_calibrate(unseen, labels, weights_of))
 
 
 def _fit(bags: list[list[np.ndarray]], labels: np.ndarray, passes: int = 6, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -212,8 +228,13 @@ def _fit(bags: list[list[np.ndarray]], labels: np.ndarray, passes: int = 6, seed
         return (table @ (soft[:, 1] - soft[:, 0])).astype(np.float64)
 
     def window_logits() -> np.ndarray:
-        value = np.concatenate([[0.0], np.cumsum(weights_now()[flat])])
-        return (value[begin[1:]] - value[begin[:-1]]) / np.maximum(sizes, LEAST) + float(bias[1] - bias[0])
+        weights, out = weights_now(), np.zeros(len(sizes))
+        for low in range(0, len(sizes), 4096):  # some windows at a time, all of them
+            high = min(low + 4096, len(sizes))
+            value = np.concatenate([[0.0], np.cumsum(weights[flat[begin[low] : begin[high]]])])
+            at = begin[low : high + 1] - begin[low]
+            out[low:high] = value[at[1:]] - value[at[:-1]]
+        return out / np.maximum(sizes, LEAST) + float(bias[1] - bias[0])
 
     batch = min(256, max(16, len(windows) // 200))
     epochs = max(passes, min(24, -(-1500 * batch // len(windows))))  # 1500 steps at least on small samples
@@ -251,17 +272,18 @@ def _fit(bags: list[list[np.ndarray]], labels: np.ndarray, passes: int = 6, seed
     return weights_now(), float(bias[1] - bias[0])
 
 
-def _calibrate(logit: np.ndarray, label: np.ndarray) -> tuple[float, float]:
+def _calibrate(logit: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and offset of the probability, by Newton steps on smoothed labels."""
     positive = label.sum()
     wanted = np.where(label == 1, (positive + 1) / (positive + 2), 1 / (len(label) - positive + 2))
+    weight = weight / weight.mean()
     scale = max(float(np.std(logit)), 1e-6)
     x = np.stack([logit / scale, np.ones(len(logit))], 1)
     at = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
-        gradient = x.T @ (p - wanted) + 1e-3 * at
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        gradient = x.T @ (weight * (p - wanted)) + 1e-3 * at
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
         step = np.linalg.solve(curve, gradient)
         at -= np.clip(step, -2, 2)
     return float(at[0] / scale), float(at[1])
@@ -271,34 +293,22 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     """Fit on the sample; ``labels`` holds the rows that may teach.
 
     Null ids, labels and labelled ids without a document are left out. If rows of
-    one id disagree, the largest label counts; of repeated documents each teaches.
-    Without two classes to tell apart, every score is the share of the class.
+    one id disagree, the largest label counts; of several documents of an id the one
+    of the smallest hash teaches. Each label gives half of the rows, or what the other
+    one leaves. Without two classes to tell apart, every score is the share of the class.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull())
-    chosen = (
-        known.groupBy(F.col(id_column).alias("__id"))
-        .agg(F.max(label).cast("int").alias("__label"))
-        .orderBy(F.xxhash64("__id"), "__id")
-        .limit(SAMPLE_ROWS)
-    )
-    sample = docs.join(F.broadcast(chosen), F.col(id_column) == F.col("__id")).select("__id", "__label", text)
-
-    def make():
-        def run(texts: common.Texts) -> list:
-            bags = window_bags(texts.encoded(), SAMPLE_WINDOWS)
-            sizes = [np.array([len(w) for w in b], dtype="<i4").tobytes() for b in bags]
-            return [pa.array(sizes, pa.binary()), pa.array([b"".join(w.astype("<i4").tobytes() for w in b) for b in bags], pa.binary())]
-
-        return run
-
-    fields = [("sizes", T.BinaryType()), ("buckets", T.BinaryType())]
-    rows = common.with_text_columns(sample, text, fields, make, ["__id", "__label"]).collect()  # SAMPLE_ROWS at most
-    rows.sort(key=lambda r: (r["__id"], bytes(r["buckets"])))
-    bags = []
-    for row in rows:
-        sizes = np.frombuffer(row["sizes"], dtype="<i4")
-        bags.append(np.split(np.frombuffer(row["buckets"], dtype="<i4"), np.cumsum(sizes)[:-1]) if len(sizes) else [])
-    return fit(bags, np.array([r["__label"] for r in rows], dtype=np.int64))
+    known = known.groupBy(F.col(id_column).alias("__id")).agg((F.max(label) > 0).cast("int").alias("__label"))
+    there = dict(known.groupBy("__label").count().collect())
+    take = {v: min(there.get(v, 0), max(SAMPLE_ROWS // 2, SAMPLE_ROWS - there.get(1 - v, 0))) for v in (0, 1)}
+    drawn = [known.where(F.col("__label") == v).orderBy(F.xxhash64("__id"), "__id").limit(take[v]) for v in (0, 1)]
+    sample = docs.join(F.broadcast(drawn[0].unionByName(drawn[1])), F.col(id_column) == F.col("__id"))
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    one = sample.groupBy("__id", "__label").agg(F.min_by(whole, F.struct(F.xxhash64(whole), whole)).alias("__text"))
+    rows = sorted(one.collect(), key=lambda r: r["__id"])  # SAMPLE_ROWS at most
+    targets = np.array([r["__label"] for r in rows], dtype=np.int64)
+    weight = np.array([there[v] / max(1, int((targets == v).sum())) for v in targets.tolist()])
+    return fit([r["__text"].encode() for r in rows], targets, weight)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:

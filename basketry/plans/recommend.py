@@ -224,7 +224,11 @@ def stacked_alternates(
     dedup: bool = False,
     **options,
 ) -> DataFrame:
-    """Stacked history with alternates, then the popular articles of the newest windows."""
+    """Stacked history with alternates, then the popular articles of the newest windows.
+
+    The rows of the windows are read once and written to the checkpoint folder.
+    """
+    tx = cut_lineage(numbered_windows(tx, windows).select("t_dat", "customer_id", "article_id", "price"))
     own = to_lists(
         stacked_alternate_items(tx, articles, windows, k=k, dedup=dedup, **options), k=k
     )
@@ -252,8 +256,12 @@ def channel_fill(
     """Stacked history with alternates, then the popular articles of the customer's channel.
 
     The lowest of ``channels`` the customer has a row in; customers of none of
-    them get the popular articles of all rows, whatever their channel.
+    them get the popular articles of all rows, whatever their channel. The rows of
+    the windows are read once and written to the checkpoint folder; lists, siblings,
+    popular articles and channels all start from there.
     """
+    columns = ("t_dat", "customer_id", "article_id", "price", "sales_channel_id")
+    tx = cut_lineage(numbered_windows(tx, windows).select(*columns))
     own = to_lists(
         stacked_alternate_items(tx, articles, windows, k=k, dedup=dedup, **options), k=k
     )

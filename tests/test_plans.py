@@ -125,3 +125,13 @@ def test_bucketed_purchases_are_not_shuffled(spark, stored):
     assert "Bucketed: true" in text and "Exchange" not in text
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, recommend.history_fill(tx, population, *window).collect()))
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_windows_are_read_once(stored):
+    """After the one read that is written, nothing goes back to the purchases."""
+    tx, population, articles, _ = stored
+    source = tx.inputFiles()[0].rsplit("/", 1)[0]
+    ws = windows.back_windows(LAST, 7, 3)
+    for found in (recommend.channel_fill(tx, articles, population, ws), recommend.stacked_alternates(tx, articles, population, ws)):
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert source.removeprefix("file://") not in text and "FileScan" in text

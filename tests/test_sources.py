@@ -143,3 +143,23 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         lineage.ensure_checkpoint_dir(Session())
+
+
+def test_temporary_tables_are_deleted(spark, purchases, tmp_path):
+    from basketry.operators import related
+    from basketry.plans import recommend
+
+    tx = purchases([(f"2020-09-{d:02d}", f"c{d % 3}", f"a{d % 5}") for d in range(1, 29)])
+    population = spark.createDataFrame([("c0",), ("c9",)], "customer_id string")
+    articles = spark.createDataFrame([(f"a{i}", f"n{i // 2}", i // 2) for i in range(5)], "article_id string, prod_name string, product_code int")
+    customers = spark.createDataFrame([("c0", 30)], "customer_id string, age int")
+    folder = lineage.ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with lineage.temporary(spark):
+        lists = recommend.blended(tx, articles, customers, population, "2020-09-28")
+        lists.write.parquet(str(tmp_path / "lists"))
+        with lineage.temporary(spark):
+            related.copurchase_pairs(tx, "2020-09-28").write.parquet(str(tmp_path / "pairs"))
+        assert set(os.listdir(folder)) - before
+    assert set(os.listdir(folder)) == before
+    assert spark.read.parquet(str(tmp_path / "lists")).count() == 2

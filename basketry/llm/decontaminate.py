@@ -10,6 +10,7 @@ first bytes are compared, and then the whole pattern, directly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -168,6 +169,18 @@ class Benchmark:
 _SPANS = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
+#: The tables of the block that a worker process searched last, by the block's name.
+_TABLES: dict[str, Benchmark] = {}
+
+
+def _table(name: str, items: list[tuple[str, bytes]], window: int) -> Benchmark:
+    """Tables of a block, built once by each worker process and kept for its later tasks."""
+    if name not in _TABLES:
+        _TABLES.clear()
+        _TABLES[name] = Benchmark(items, window)
+    return _TABLES[name]
+
+
 def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[tuple[list[tuple[str, bytes]], bool]]:
     """The items in blocks of ``limit`` bytes, and whether a block is the last.
 
@@ -216,8 +229,8 @@ def find(
     for block, last in _blocks(benchmark, item_id, item_text, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)  # block_bytes at most, or one item
 
-        def make(shared=shared):
-            table = Benchmark(shared.value, window)
+        def make(shared=shared, name=uuid.uuid4().hex):
+            table = _table(name, shared.value, window)
 
             def run(texts: common.Texts) -> list:
                 counts, spans, items = table.find(texts.encoded())

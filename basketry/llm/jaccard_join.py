@@ -9,10 +9,10 @@ decides how much work there is, never which links are found.
 Short index lists give pairs of sets, of which a count of the shared prefix
 n-grams rules out most before sets are compared. Sets on long lists are near
 copies of each other and are grouped by the lists they share. A group is cut into
-blocks by size, and blocks whose sizes rule out a link are skipped. Inside, lists
-are sorted by size, so that a set skips the part of a list with too small or too
-large sets, and its overlaps are derived from those of the most similar set before
-it: only lists of n-grams that one of the two has and the other has not are read.
+blocks by size, and blocks whose sizes rule out a link do not meet. Where two meet,
+set relations save work: the places of sets that are too small or too large are
+skipped in every index list, and a set's answers are derived from the computed answers
+of the set before that is most similar to it.
 """
 
 from __future__ import annotations
@@ -252,24 +252,30 @@ def verified(pairs: DataFrame, sets: DataFrame, numerator: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def block_links(ids: list[int], sets: list[np.ndarray], sides: list[int], numerator: int) -> list[tuple[int, int]]:
+def block_links(
+    ids: list[int], sets: list[np.ndarray], sides: list[int], numerator: int, reads: list[int] | None = None
+) -> list[tuple[int, int]]:
     """Links that connect all linked sets of a block, or of the sides 0 and 1 of two blocks.
 
-    Sets are taken by size, so list positions are sizes in order. ``overlap[x]`` is
-    kept for the set before; the next set's overlaps are derived from it if the two
-    have most n-grams in common, else counted anew.
+    Sets are taken by size and an n-gram's index list has its sets in that order, so
+    the sizes that a link allows are a range of places in every list; the rest of it
+    is skipped. All overlaps in that range are a set's answers. They are derived from
+    those of the set before with which it has most n-grams in common, if that is close:
+    only lists of n-grams that one of the two has and the other has not are read.
+    ``reads`` gets the number of list entries read for each set.
     """
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), ids[i]))
-    sets, ids, sides = [sets[i] for i in order], [ids[i] for i in order], [sides[i] for i in order]
+    sets, ids, side = [sets[i] for i in order], [ids[i] for i in order], np.array([sides[i] for i in order])
+    n = len(sets)
     sizes = np.array([len(s) for s in sets])
-    grams, inverse = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    place = np.argsort(inverse, kind="stable")
-    lists = np.split(owner[place], np.cumsum(np.bincount(inverse, minlength=len(grams)))[:-1])
-    tokens = np.split(inverse, np.cumsum(sizes)[:-1])
-    side = np.array(sides)
+    _, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(n), sizes)
+    entry = np.sort(inverse.astype(np.int64) * n + owner)  # all lists one after another
+    tokens = np.split(inverse.astype(np.int64), np.cumsum(sizes)[:-1])
+    low = np.searchsorted(sizes, -(-numerator * sizes // 100), side="left")
+    high = np.searchsorted(sizes, 100 * sizes // numerator, side="right")
     two = len(set(sides)) > 1
-    parent = list(range(len(sets)))
+    parent = list(range(n))
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -277,23 +283,38 @@ def block_links(ids: list[int], sets: list[np.ndarray], sides: list[int], numera
             i = parent[i]
         return i
 
-    def counted(which: np.ndarray) -> np.ndarray:
-        hits = np.concatenate([lists[t] for t in which]) if len(which) else np.zeros(0, np.int64)
-        return np.bincount(hits, minlength=len(sets))
-
-    links, last, overlap = [], None, None
-    for x in range(len(sets)):
-        mine = tokens[x]
-        if last is not None:
-            gone = np.setdiff1d(tokens[last], mine, assume_unique=True)
-            come = np.setdiff1d(mine, tokens[last], assume_unique=True)
-        if last is not None and len(gone) + len(come) < len(mine) / 2:
-            overlap = overlap - counted(gone) + counted(come)
+    read = 0
+
+    def counted(which: np.ndarray, start: int, stop: int) -> np.ndarray:
+        """How many of the lists ``which`` have each set of the places ``start`` to ``stop``."""
+        nonlocal read
+        first = np.searchsorted(entry, which * n + start)
+        size = np.searchsorted(entry, which * n + stop) - first
+        at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        read += len(at)
+        return np.bincount(entry[at] % n - start, minlength=stop - start)
+
+    overlap = np.zeros((n, n), dtype=np.int32)
+    base, common_grams = np.full(n, -1), np.zeros(n, dtype=np.int64)
+    links = []
+    for x in range(n):
+        a, z, mine, near = int(low[x]), int(high[x]), tokens[x], int(base[x])
+        start, stop = a, a  # places whose answers are derived
+        if near >= 0 and 2 * (sizes[near] + sizes[x] - 2 * common_grams[x]) < sizes[x]:
+            start, stop = max(a, int(low[near])), min(z, int(high[near]))
+        if start < stop:
+            gone, come = np.setdiff1d(tokens[near], mine, assume_unique=True), np.setdiff1d(mine, tokens[near], assume_unique=True)
+            overlap[x, start:stop] = overlap[near, start:stop] - counted(gone, start, stop) + counted(come, start, stop)
         else:
-            overlap = counted(mine)
-        last = x
-        low = np.searchsorted(sizes, -(-numerator * sizes[x] // 100))
-        found = np.flatnonzero(100 * overlap[low:x] >= numerator * (sizes[low:x] + sizes[x] - overlap[low:x])) + low
+            start = stop = a
+        for p, q in ((a, start), (stop, z)):
+            if p < q:
+                overlap[x, p:q] = counted(mine, p, q)
+        row = overlap[x, a:z]
+        closer = row > common_grams[a:z]
+        base[a:z][closer], common_grams[a:z] = x, np.maximum(common_grams[a:z], row)
+        before = row[: x - a]
+        found = np.flatnonzero(100 * before >= numerator * (sizes[a:x] + sizes[x] - before)) + a
         if two:
             found = found[side[found] != side[x]]
         for y in found.tolist():
@@ -301,6 +322,9 @@ def block_links(ids: list[int], sets: list[np.ndarray], sides: list[int], numera
             if rx != ry:
                 parent[max(rx, ry)] = min(rx, ry)
                 links.append((ids[x], ids[y]))
+        if reads is not None:
+            reads.append(read)
+            read = 0
     return links
 
 

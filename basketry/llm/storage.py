@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from basketry.sources.lineage import ensure_checkpoint_dir
+from basketry.sources.lineage import ensure_checkpoint_dir, note, remove
 
 
 def cut(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -15,17 +15,22 @@ def cut(df: DataFrame, path: str | None = None) -> DataFrame:
     Unlike a plain checkpoint, later steps read only the columns they need. The
     files are as safe as the folder, so a lost executor costs no recomputation.
     """
-    path = path or f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = path or note(f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class Scratch:
-    """Cut tables that are deleted together once their result has been written."""
+    """Cut tables of one operator in one folder.
+
+    ``drop`` deletes a table that is no longer read. The folder goes at the end of a
+    ``sources.lineage.temporary`` block around the operator and the writing of its
+    result; without one it stays until the checkpoint folder is cleaned.
+    """
 
     def __init__(self, spark) -> None:
         self.spark = spark
-        self.root = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+        self.root = note(f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}")
         self.number = 0
 
     def cut(self, df: DataFrame) -> DataFrame:
@@ -34,8 +39,6 @@ class Scratch:
 
     def drop(self, df: DataFrame) -> None:
         """Delete the files of one cut table that is no longer read."""
-        jvm = self.spark.sparkContext._jvm
         for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if file.startswith(self.root) or self.root in file:
-                target = jvm.org.apache.hadoop.fs.Path(file)
-                target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+                remove(self.spark, file)

@@ -12,7 +12,7 @@ from basketry.operators.windows import trailing_window
 from basketry.sources.lineage import cut_lineage
 
 # Partners of a basket that the first round tries; every later round goes so many times as deep.
-FIRST_DEPTH, DEEPER = 16, 4
+FIRST_DEPTH, DEEPER = 64, 4
 # Positions per bucket when a mapped list is renumbered.
 LIST_BUCKET = 1000
 
@@ -190,7 +190,7 @@ def copurchase_pairs(tx: DataFrame, last: DateLike, days: int = 7) -> DataFrame:
     done = None
     if deepest > FIRST_DEPTH:
         deep = join_totals(rows.where(F.col("size") > FIRST_DEPTH), common.select("article_id", "baskets"), ["article_id"])
-        deep = cut_lineage(numbered(deep, basket, [F.desc("baskets"), F.asc("article_id")], "place"))
+        deep = numbered(deep, basket, [F.desc("baskets"), F.asc("article_id")], "place")
         open_rows, low, high = deep, 0, FIRST_DEPTH
         while True:
             met = _meet(open_rows, deep, basket, low, high).groupBy("article_id", "article_id2").agg(F.count(F.lit(1)).alias("n"))

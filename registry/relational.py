@@ -306,6 +306,32 @@ def items_per_customer(spark, sf_dir):
     return history.items_per_customer(clicks(spark, sf_dir).tx)
 
 
+@query(
+    "last_days_of_the_data",
+    clicks_sql(
+        """last AS (SELECT max(t_dat) AS d FROM tx)
+        SELECT article_id, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, article_id) AS INTEGER) AS rank
+        FROM tx, last WHERE t_dat BETWEEN d - 6 AND d GROUP BY article_id QUALIFY rank <= 12"""
+    ),
+)
+def last_days_of_the_data(spark, sf_dir):
+    """The last day comes from the data, as a scalar subquery."""
+    tx = clicks(spark, sf_dir).tx
+    return popularity.top_k_global(popularity.article_counts(windows.trailing_window(tx, windows.last_date(tx), 6)))
+
+
+@query(
+    "weekly_counts_of_the_data",
+    clicks_sql(
+        """last AS (SELECT max(t_dat) AS d FROM tx)
+        SELECT d - CAST(floor((d - t_dat) / 7.0) AS INTEGER) * 7 AS week_end, article_id, count(*) AS n FROM tx, last GROUP BY 1, 2"""
+    ),
+)
+def weekly_counts_of_the_data(spark, sf_dir):
+    tx = clicks(spark, sf_dir).tx
+    return popularity.weekly_article_counts(tx, windows.last_date(tx))
+
+
 EXP_REF = W1[1] + dt.timedelta(days=790)
 
 

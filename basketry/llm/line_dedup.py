@@ -2,19 +2,23 @@
 
 A line is the set of its character n-grams. Signatures of ``BANDS`` bands of
 ``ROWS`` minima bring similar lines together: two lines of similarity s share a
-band with probability 1 - (1 - s^ROWS)^BANDS, 99.7 % at 0.75 and more above. In a
-band every line is first compared, by exact Jaccard similarity, with the first
-line and with the one before it. Linked lines are joined by distributed
-union-find. A band whose lines are one component then is settled; in any other
-one the lines of different components are compared too, all of them in a small
-band, those that an exact prefix filter leaves in a large one. So any two similar
-lines that share a band are linked. The first line of a component in the corpus
-stays.
-
-Equal lines are one line from the start: they share an id, the hash of their
-characters. Tasks pair the lines of a chunk that share a band among themselves
-and send on one of them, so a band that a third of all lines share reaches its
-partition as one row from each chunk; the others are known from their pairs.
+band with probability 1 - (1 - s^ROWS)^BANDS, 99.7 % at 0.75 and more above. Most lines
+that share a band are not similar, so every entry of a band carries a sketch, two
+bits of each minimum: lines of a band are compared if their sketches agree in
+``AGREE`` places, which two lines of similarity 0.75 miss with a probability below 0.0001.
+
+No task sends the pairs of a band. First each line is paired with the one before it
+in the band whose sketch agrees most; these pairs are verified by exact Jaccard
+similarity and the links joined by distributed union-find. Bands whose agreeing
+lines are one component then are settled. The lines of any other meet in one
+task, which compares those of different components and sends links only. The
+first line of a component in the corpus stays.
+
+Entries are dealt to ranges of band keys, packed. Bands that very many lines share are
+known from a sample and spread over tasks; one of more than ``SMALL_BAND`` lines
+that is not settled goes through an exact prefix filter.
+
+Equal lines are one line from the start: they share an id, the hash of their bytes.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,13 +39,19 @@ from basketry.llm.storage import Scratch
 GRAM = 5
 BANDS, ROWS = 16, 4
 NUMERATOR = 75
-#: Lines whose texts are needed and whose ids are sent to all tasks (8 bytes each); with more, a join selects them.
-MOST_IDS = 1 << 21
+#: Places of 64 in which the sketches of lines must agree to be compared.
+AGREE = 40
+#: Bits of the sketch of needed lines that is sent to all tasks; lines outside of it are not shuffled.
+SKETCH_BITS = 27
+#: Bytes of text for each range of band keys, on average; bytes of text whose entries are packed together.
+RANGE_BYTES, PACK_BYTES = 4 << 20, 4 << 20
+#: Texts in the sample that tells which bands are hot, and different lines that make one hot there.
+SAMPLE, HOT = 4096, 8
 #: Documents to edit and lines to drop from them that are sent to all tasks (some 100 bytes and 8 bytes each);
 #: with more of either, documents are joined with their lines by a shuffle.
 MOST_EDITED, MOST_DROPPED = 1 << 19, 1 << 22
-#: Lines of an unsettled band that are compared one by one; larger bands go through the prefix filter.
-SMALL_BAND = 32
+#: Lines of a band that are compared with each other by sketch; larger bands go through the prefix filter.
+SMALL_BAND = 2048
 #: Code points that one step hashes at a time.
 STEP = 1 << 16
 
@@ -48,31 +59,33 @@ _MULTIPLIERS = np.random.default_rng(5).integers(1, 2**32, BANDS * ROWS, dtype=n
 _SHIFTS = np.random.default_rng(6).integers(1, 2**32, BANDS * ROWS, dtype=np.uint32)
 _GRAM_POWERS = common.powers(0x9E3779B97F4A7C15, 64)
 _ID_BASE = 0x2545F4914F6CDD1D
+_ID_INVERSE = pow(_ID_BASE, -1, 1 << 64)
 
 
-def split(text: str | None) -> list[str]:
-    return (text or "").split("\n")
+def split(column: pa.Array) -> pa.ListArray:
+    """The lines of each text; a null text is an empty line."""
+    return pc.split_pattern(pc.fill_null(column, ""), "\n")
 
 
-def line_ids(lines: list[str]) -> np.ndarray:
-    """A 64-bit hash of each line's characters; 0 for a line of white space only, which is no duplicate of any."""
-    joined = "\n".join(lines).encode("utf-8")
-    data = np.frombuffer(joined + b"\n", dtype=np.uint8)
-    ends = np.flatnonzero(data == 10)
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    full = np.array([not (line.isspace() or not line) for line in lines], dtype=bool)
-    out = np.zeros(len(lines), dtype=np.uint64)
-    out[full] = common.word_hashes(data, starts[full], ends[full])
-    return out.view(np.int64)
+def line_ids(lines: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each line's bytes; 0 for a line of white space only, which is no duplicate of any."""
+    texts = common.Texts(lines)
+    prefix = np.zeros(len(texts.bytes) + 1, dtype=np.uint64)
+    np.cumsum(common._BYTE_VALUES[texts.bytes] * common.powers(_ID_BASE, len(texts.bytes)), out=prefix[1:])
+    back = common.powers(_ID_INVERSE, len(texts.bytes) + 1)
+    starts, ends = texts.offsets[:-1], texts.offsets[1:]
+    ids = common.mix((prefix[ends] - prefix[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    ids[(starts == ends) | np.asarray(pc.utf8_is_space(lines))] = 0
+    return ids.view(np.int64)
 
 
-def signatures(lines: list[str]) -> np.ndarray:
-    """The keys of every line's bands, ``BANDS`` columns.
+def signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of every line's bands, ``BANDS`` columns, and its sketch: the two low bits of its minima, as two numbers.
 
     A line shorter than an n-gram is one n-gram.
     """
     padded = [line if len(line) >= GRAM else line + "\0" * (GRAM - len(line)) for line in lines]
-    out = np.zeros((len(lines), BANDS), dtype=np.uint64)
+    out, sketch = np.zeros((len(lines), BANDS), dtype=np.uint64), np.zeros((len(lines), 2), dtype=np.uint64)
     start = 0
     while start < len(padded):
         stop, size = start, 0
@@ -92,89 +105,196 @@ def signatures(lines: list[str]) -> np.ndarray:
         key = np.zeros(len(part), dtype=np.uint64)
         for k in range(BANDS * ROWS):
             least = np.minimum.reduceat(grams * _MULTIPLIERS[k] + _SHIFTS[k], inner)[::2]
-            key = common.mix(key + least.astype(np.uint64) + np.uint64(k))
+            least = least.astype(np.uint64)
+            for bit in range(2):
+                sketch[start:stop, bit] |= (least >> np.uint64(bit) & np.uint64(1)) << np.uint64(k)
+            key = common.mix(key + least + np.uint64(k))
             if k % ROWS == ROWS - 1:
                 out[start:stop, k // ROWS] = key
                 key = np.zeros(len(part), dtype=np.uint64)
         start = stop
-    return out
+    return out, sketch
+
+
+_ENTRY = [("key", np.uint32), ("id", np.int64), ("low", np.uint64), ("high", np.uint64)]
 
 
-def _pairs_of(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows sorted by key and id: which begin a key; for the others, the key's first id and the one before."""
-    new = np.ones(len(keys), dtype=bool)
-    new[1:] = keys[1:] != keys[:-1]
-    first = ids[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))]
-    before = np.concatenate([ids[:1], ids[:-1]])
-    return new, first, before
+def _chosen(column: pa.Array) -> tuple[list[str], np.ndarray]:
+    """The different lines of some texts that are not blank, and their ids."""
+    lines = split(column).flatten()
+    ids = line_ids(lines)
+    _, at = np.unique(ids, return_index=True)
+    at = at[ids[at] != 0]
+    return lines.take(pa.array(at)).to_pylist(), ids[at]
 
 
-def candidates(docs: DataFrame, text: str) -> DataFrame:
-    """``a``, ``b``, ``band``: ids of lines to compare first. Every line that shares a band with another is in a pair of it."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def hot_bands(texts: DataFrame, number: int) -> np.ndarray:
+    """Keys of the bands that many lines share, from a sample of some ``SAMPLE`` of the ``number`` texts."""
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = common.string_column(batch.column(0))
-            for start, stop in common.chunks(column, 2 * common.CHUNK_BYTES):
-                lines = [line for t in column.slice(start, stop - start).to_pylist() for line in split(t)]
-                ids = line_ids(lines)
-                _, at = np.unique(ids, return_index=True)
-                at = at[ids[at] != 0]
-                chosen, ids = [lines[i] for i in at], ids[at]
-                keys = signatures(chosen)
-                key = keys.ravel()
-                ids = np.repeat(ids, BANDS)
-                order = np.lexsort((common.mix(key ^ ids.view(np.uint64)), key))  # in each band lines have another order
-                key, ids = key[order], ids[order]
-                new, first, before = _pairs_of(key, ids)
-                local = ~new
-                anywhere = common.mix(ids[local].view(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([key[new].view(np.int64), anywhere, anywhere])),
-                        pa.array(np.concatenate([ids[new], ids[local], ids[local]])),
-                        pa.array(np.concatenate([np.zeros(new.sum(), np.int64), first[local], before[local]])),
-                        pa.array(np.concatenate([np.zeros(new.sum(), np.int64), *[key[local].view(np.int64)] * 2])),
-                    ],
-                    names=["key", "id", "other", "band"],
-                )
+            for start, stop in common.chunks(column):
+                lines, ids = _chosen(column.slice(start, stop - start))
+                yield pa.RecordBatch.from_arrays([pa.array(signatures(lines)[0].ravel().view(np.int64)), pa.array(np.repeat(ids, BANDS))], names=["key", "id"])
 
-    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key = first_id = last_id = None
+    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(max(1, number // SAMPLE))) == 0).dropDuplicates(["text"])
+    counted = some.mapInArrow(keys, "key long, id long").distinct().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= HOT)
+    return np.sort(counted.select("key").toArrow()["key"].to_numpy().view(np.uint64))  # at most twice as many as the sample has lines
+
+
+def entries(texts: DataFrame, ranges: int, hot: np.ndarray) -> DataFrame:
+    """Band entries of all lines, packed, one row for each range of keys and ``PACK_BYTES`` of text.
+
+    Entries of hot bands go to ranges of their own, dealt by chunk; these numbers are
+    larger, and the same modulo ``ranges``.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(hot)  # some MB, see hot_bands
+    pieces = min(ranges, 16 + ranges // 64)  # of a hot band
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, ids, other, band = (np.asarray(batch.column(i)) for i in range(4))
-            done = other != 0
-            yield pa.RecordBatch.from_arrays([pa.array(ids[done]), pa.array(other[done]), pa.array(band[done])], names=["a", "b", "band"])
-            key, ids = key[~done], ids[~done]
-            if not len(key):
-                continue
-            new, first, before = _pairs_of(key, ids)
-            if last_key is not None and key[0] == last_key:
-                run = len(key) if not new[1:].any() else int(np.flatnonzero(new[1:])[0]) + 1
-                first[:run], before[0], new[0] = first_id, last_id, False
-            last_key, first_id, last_id = key[-1], first[-1], ids[-1]
-            for partner in (first, before):
-                differ = ~new & (partner != ids)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[differ]), pa.array(partner[differ]), pa.array(key[differ])], names=["a", "b", "band"])
-
-    rows = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(keyed, "key long, id long, other long, band long")
-    dealt = rows.repartition(partitions, "key").sortWithinPartitions("key", F.xxhash64("key", "id"), "id")
-    pairs = dealt.mapInArrow(met, "a long, b long, band long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "band").where("a <> b")
-
-
-def unsettled(found: DataFrame, roots: DataFrame) -> DataFrame:
-    """``band``, ``id``, ``root``, ``n``: lines of the bands whose ``n`` lines are not one component yet.
-
-    Bands of two lines are left out: those two were compared.
+            column = common.string_column(batch.column(0))
+            for start, stop in common.chunks(column, PACK_BYTES):
+                lines, ids = _chosen(column.slice(start, stop - start))
+                keys, sketch = signatures(lines)
+                key = keys.ravel()
+                where = ((key >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+                if len(known) and len(key):
+                    place = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                    piece = common.mix(key ^ ids[:1].view(np.uint64)) % np.uint64(pieces) + np.uint64(1)
+                    where = where + np.where(known[place] == key, piece * np.uint64(ranges), np.uint64(0))
+                order = np.argsort(where, kind="stable")
+                where, line = where[order], order // BANDS
+                columns = [key[order].astype(np.uint32), ids[line], sketch[line, 0], sketch[line, 1]]
+                edge = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]])) if len(where) else np.zeros(0, np.int64)
+                stops = np.append(edge[1:], len(where))[: len(edge)]
+                packed = [pa.array([x[i:j].tobytes() for i, j in zip(edge, stops, strict=True)], pa.binary()) for x in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(where[edge].astype(np.int64)), *packed], names=["range", *(n for n, _ in _ENTRY)])
+        common.release()
+
+    return texts.mapInArrow(run, "range long, " + ", ".join(f"{n} binary" for n, _ in _ENTRY))
+
+
+def agreement(low: np.ndarray, high: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many places the sketches of the rows ``a`` and ``b`` agree."""
+    return 64 - np.bitwise_count((low[a] ^ low[b]) | (high[a] ^ high[b])).astype(np.int16)
+
+
+def nearest_before(first: np.ndarray, size: np.ndarray, low: np.ndarray, high: np.ndarray, step: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of groups of rows, given by first row and size: pairs of a row and the one before it in its group that agrees most.
+
+    Also which groups have other pairs that agree enough. Rows without any such pair are left out.
+    """
+    parents, children, more = [], [], np.zeros(len(first), dtype=bool)
+    for n in np.unique(size).tolist():
+        where = np.flatnonzero(size == n)
+        together = max(1, step // (n * n))
+        for at in range(0, len(where), together):
+            groups = where[at : at + together]
+            base = first[groups][:, None]
+            count = np.zeros(len(groups), dtype=np.int64)
+            edges = np.zeros(len(groups), dtype=np.int64)
+            for child in range(1, n):
+                value = agreement(low, high, base + np.arange(child), base + child)
+                count += (value >= AGREE).sum(axis=1)
+                best = value.argmax(axis=1)
+                good = value[np.arange(len(groups)), best] >= AGREE
+                edges += good
+                parents.append(base[good, 0] + best[good])
+                children.append(base[good, 0] + child)
+            more[groups] = count > edges
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *parents]), np.concatenate([none, *children]), more
+
+
+def candidates(texts: DataFrame) -> DataFrame:
+    """Pairs of lines to compare first, and members of bands that may need more.
+
+    ``a``, ``b`` are ids of lines. With ``band`` 0 they are a pair. Else ``a`` is a line of the
+    band, ``low`` and ``high`` are its sketch, and ``b`` is the first line that its task knows of it.
     """
-    members = found.select("band", F.explode(F.array("a", "b")).alias("id")).distinct()
-    members = members.join(roots, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("root", "id").alias("root"))
-    open_bands = members.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    return members.join(open_bands.where("n > 2 and low <> high").select("band", "n"), "band")
+    size = texts.agg(F.count("*").alias("texts"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("bytes")).first()
+    ranges = max(1, -(-size["bytes"] // RANGE_BYTES))
+    small, names = SMALL_BAND, ["a", "b", "band", "low", "high"]
+
+    def met(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where = key[0].as_py()
+        table = pa.Table.from_batches(batches)
+        keys, ids, low, high = (np.frombuffer(b"".join(v.as_buffer().to_pybytes() for v in table[n]), dtype=t) for n, t in _ENTRY)
+        order = np.lexsort((ids, keys))
+        keys, ids, low, high = keys[order], ids[order], low[order], high[order]
+        new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])])
+        keys, ids, low, high = keys[new], ids[new], low[new], high[new]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        size = np.diff(np.append(first, len(keys)))
+        whole = where >= ranges  # a hot band, of which other tasks have more
+        few = (size > 1) & (size <= small)
+        parent, child, more = nearest_before(first[few], size[few], low, high)
+        both = np.unique(np.stack([ids[parent], ids[child]], 1), axis=0)
+        none = pa.array(np.zeros(len(both), np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), none, none, none], names=names)
+        many = (size > small) | whole
+        many[np.flatnonzero(few)[more]] = True
+        member = np.repeat(many, size)
+        band = ((np.uint64(where % ranges + 1) << np.uint64(32)) | keys[member].astype(np.uint64)).view(np.int64)
+        columns = [ids[member], np.repeat(ids[first], size)[member], band, low[member].view(np.int64), high[member].view(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+        if not whole:  # there are few of these, and they are large
+            del table, keys, ids, low, high, order, columns
+            common.release()
+
+    dealt = entries(texts, ranges, hot_bands(texts, size["texts"]))
+    return dealt.groupBy("range").applyInArrow(met, "a long, b long, band long, low long, high long")
+
+
+def unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``band``, ``id``, ``low``, ``high``, ``root``, ``n``: lines of the bands whose ``n`` lines are not one component yet."""
+    members = members.select("band", F.col("a").alias("id"), "low", "high").dropDuplicates(["band", "id"])
+    members = members.join(roots, F.col("id") == F.col("node"), "left").select("band", "id", "low", "high", F.coalesce("root", "id").alias("root"))
+    open_bands = members.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+    open_bands = open_bands.where("least <> most").select("band", "n", F.xxhash64("band").alias("__spread"))
+    # one more key, so that both sides have an exchange and a hot band can be split
+    return members.withColumn("__spread", F.xxhash64("band")).join(open_bands, ["band", "__spread"]).drop("__spread")
+
+
+def settled(rest: DataFrame, lines: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
+    """Links ``a``, ``b`` between components, from all agreeing pairs of each band; ``SMALL_BAND`` lines at most are one task's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        ids, roots = table["id"].to_numpy(), table["root"].to_numpy()
+        low, high = (table[c].to_numpy().view(np.uint64) for c in ("low", "high"))
+        texts = table["line"].to_pylist()
+        _, part = np.unique(roots, return_inverse=True)
+        parts = part.tolist()
+        top = list(range(max(parts) + 1))
+
+        def find(x: int) -> int:
+            while top[x] != x:
+                top[x] = top[top[x]]
+                x = top[x]
+            return x
+
+        links: list[tuple[int, int]] = []
+        sets: dict[int, set[str]] = {}
+        for i in range(1, len(ids)):
+            value = agreement(low, high, np.arange(i), np.full(i, i))
+            for j in np.flatnonzero((value >= AGREE) & (part[:i] != part[i])).tolist():
+                x, y = find(parts[i]), find(parts[j])
+                if x == y:
+                    continue
+                for k in (i, j):
+                    if k not in sets:
+                        sets[k] = grams(texts[k])
+                both = len(sets[i] & sets[j])
+                if 100 * both >= numerator * (len(sets[i]) + len(sets[j]) - both):
+                    top[max(x, y)] = min(x, y)
+                    links.append((int(ids[j]), int(ids[i])))
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+
+    return rest.join(lines, "id").select("band", "id", "root", "low", "high", "line").groupBy("band").applyInArrow(run, "a long, b long")
 
 
 def _meet(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -185,19 +305,13 @@ def _meet(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def remaining(rest: DataFrame, lines: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
-    """``a``, ``b``: pairs of different components in unsettled bands that can be similar.
+    """``a``, ``b``: pairs of different components in large unsettled bands that can be similar.
 
     Of two similar sets, in any common order of n-grams, the first n - ceil(n * s) + 1
-    of each have one in common. In a large band that order begins with its rarest
-    n-grams, so lines of one template meet only by what sets them apart.
+    of each have one in common. That order begins with a band's rarest n-grams, so
+    lines of one template meet only by what sets them apart.
     """
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = np.array([len(grams(x)) for x in batch.column(1).to_pylist()], dtype=np.int64)
-            most = size * 100 // numerator  # the largest set that can be similar
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(most)], names=["id", "size", "most"])
-
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -210,10 +324,7 @@ def remaining(rest: DataFrame, lines: DataFrame, numerator: int = NUMERATOR) ->
                     names=["band", "id", "root", "size", "gram"],
                 )
 
-    small = rest.where(F.col("n") <= SMALL_BAND)
-    sized = lines.select("id", "line").mapInArrow(sizes, "id long, size long, most long")
-    direct = _meet(small.join(sized, "id"), ["band"])
-    large = rest.where(F.col("n") > SMALL_BAND).join(lines, "id").select("band", "id", "root", "line")
+    large = rest.join(lines, "id").select("band", "id", "root", "line")
     each = large.mapInArrow(hashed, "band long, id long, root long, size long, gram string")
     each = each.withColumn("gram", F.xxhash64("gram"))  # n-grams of one hash only make more pairs to verify
     counts = each.groupBy("band", "gram").agg(F.count("*").alias("uses"))
@@ -221,33 +332,47 @@ def remaining(rest: DataFrame, lines: DataFrame, numerator: int = NUMERATOR) ->
     length = F.expr(f"cast(size - (size * {numerator} + 99) div 100 + 1 as int)")
     prefix = ordered.select("band", "id", "root", "size", F.expr(f"size * 100 div {numerator}").alias("most"), F.explode(F.slice("order", F.lit(1), length)).alias("p"))
     prefix = prefix.where("p.uses > 1").select("band", "id", "root", "size", "most", F.col("p.gram").alias("gram")).distinct()
-    return direct.unionByName(_meet(prefix, ["band", "gram"])).distinct()
+    return _meet(prefix, ["band", "gram"]).distinct()
+
+
+def _known_bits(wanted: DataFrame) -> np.ndarray:
+    """A set of 2^``SKETCH_BITS`` bits, two of them set for each id."""
+    mask = (1 << SKETCH_BITS) - 1
+    places = F.array(F.col("id").bitwiseAND(mask), F.shiftrightunsigned("id", 32).bitwiseAND(mask))
+    place = wanted.select(F.explode(F.transform(places, lambda p: p + 1)).alias("p"))
+    rows = place.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    bits = np.zeros(max(1, (1 << SKETCH_BITS) >> 3), dtype=np.uint8)
+    for row in rows.toLocalIterator():  # 2^SKETCH_BITS bits in all
+        part = np.frombuffer(row["bits"], dtype=np.uint8)
+        at = (row["bucket"] - 1) * 4096
+        bits[at : at + 4096] = part[: len(bits) - at]
+    return bits
+
+
+def _has(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    out = np.ones(len(ids), dtype=bool)
+    for shift in (0, 32):
+        place = (ids.view(np.uint64) >> np.uint64(shift)) & np.uint64(len(bits) * 8 - 1)
+        out &= (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
+    return out
 
 
-def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
+def _texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """``id``, ``line`` of the lines whose ids are in ``wanted``."""
-    spark = docs.sparkSession
-    few = wanted.count() <= MOST_IDS
-    known = np.sort(np.array([r[0] for r in wanted.toLocalIterator()], dtype=np.int64)) if few else None
-    shared = spark.sparkContext.broadcast(known)
+    shared = texts.sparkSession.sparkContext.broadcast(_known_bits(wanted))  # 2^SKETCH_BITS bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in batches:
             column = common.string_column(batch.column(0))
             for start, stop in common.chunks(column):
-                lines = [line for t in column.slice(start, stop - start).to_pylist() for line in split(t)]
+                lines = split(column.slice(start, stop - start)).flatten()
                 ids = line_ids(lines)
                 _, at = np.unique(ids, return_index=True)
-                at = at[ids[at] != 0]
-                if known is not None:
-                    place = np.searchsorted(known, ids[at])
-                    at = at[np.append(known, 0)[place] == ids[at]]  # no line's id is 0
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array([lines[i] for i in at], pa.string())], names=["id", "line"])
-
-    lines = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(run, "id long, line string")
-    if not few:
-        lines = lines.join(wanted, "id", "left_semi")
+                at = at[(ids[at] != 0) & _has(shared.value, ids[at])]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), lines.take(pa.array(at)).cast(pa.string())], names=["id", "line"])
+        common.release()
+
+    lines = texts.mapInArrow(run, "id long, line string").join(wanted, "id", "left_semi")
     return lines.groupBy("id").agg(F.first("line").alias("line"))
 
 
@@ -271,10 +396,15 @@ def verified(pairs: DataFrame, lines: DataFrame, numerator: int = NUMERATOR) ->
                 n = len(mine & other)
                 good.append(100 * n >= numerator * (len(mine) + len(other) - n))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+        common.release()
 
     return both.mapInArrow(run, "a long, b long")
 
 
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
 def deduplicate(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", numerator: int = NUMERATOR, scratch: Scratch | None = None
 ) -> DataFrame:
@@ -288,28 +418,38 @@ def deduplicate(
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
-    found = scratch.cut(candidates(docs, text))
-    pairs = scratch.cut(found.select("a", "b").distinct())
-    wanted = scratch.cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    lines = scratch.cut(_texts(docs, text, wanted))
-    links = scratch.cut(verified(pairs, lines, numerator))
+    texts = docs.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    found = scratch.cut(candidates(texts))
+    members = found.where("band <> 0")
+    heads = members.select("band", "b").distinct()
+    lowest = heads.groupBy("band").agg(F.min("b").alias("a"))
+    heads = heads.join(lowest, "band").select("a", "b")
+    pairs = found.where("band = 0").select("a", "b").unionByName(heads).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = scratch.cut(pairs.distinct())
+    links = scratch.cut(verified(pairs, scratch.cut(_texts(texts, _ids(pairs))), numerator))
     roots = components(links, scratch)
-    rest = scratch.cut(unsettled(found, roots))
+    rest = scratch.cut(unsettled(members, roots))
     if not rest.isEmpty():
-        more = scratch.cut(remaining(rest, lines, numerator).join(pairs, ["a", "b"], "left_anti"))
-        more_links = scratch.cut(verified(more, lines, numerator))
-        if not more_links.isEmpty():
-            roots = components(links.unionByName(more_links), scratch)
+        lines = scratch.cut(_texts(texts, rest.select("id").distinct()))
+        more = scratch.cut(settled(rest.where(F.col("n") <= SMALL_BAND), lines, numerator))
+        large = rest.where(F.col("n") > SMALL_BAND)
+        if not large.isEmpty():
+            roots = components(links.unionByName(more), scratch)
+            now = large.drop("root").join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
+            more = more.unionByName(scratch.cut(verified(scratch.cut(remaining(now, lines, numerator)), lines, numerator)))
+        scratch.drop(lines)
+        if not more.isEmpty():
+            roots = components(links.unionByName(more), scratch)
+    for table in (found, pairs, rest):
+        scratch.drop(table)
     # every occurrence of a line, without its text
     own = [c for c in docs.columns if c.lower() not in {"n_lines", "n_kept", "__key", "__ids", "__drops", "__edited"}]
     source = docs.select(*[F.col(f"`{c}`") for c in own]).withColumn("__key", F.xxhash64(F.col(f"`{id_column}`").cast("string"), F.col(f"`{text}`")))
 
     def ids_of():
         def run(texts: common.Texts) -> list:
-            split_texts = [split(t) for t in texts.strings()]
-            ids = line_ids([line for lines in split_texts for line in lines])
-            ends = np.cumsum([len(lines) for lines in split_texts])
-            return [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids))]
+            lines = split(texts.column)
+            return [pa.ListArray.from_arrays(lines.offsets.cast(pa.int32()), pa.array(line_ids(lines.flatten())))]
 
         return run
 

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, decontaminate, jaccard_join, line_dedup, quality, secrets, toxicity
+from basketry.llm import bpe, common, decontaminate, jaccard_join, line_dedup, quality, secrets, toxicity
 from tests.llm.conftest import EDGE, LONG
 
 DOCS = "doc_id long, text string"
@@ -70,6 +70,12 @@ def test_join_equals_all_pairs(spark, corpus, monkeypatch, long_list, block):
     assert len(Counter(expected.values())) < len(sets) - 50
 
 
+def test_join_selects_sets_by_a_join_too(spark, corpus, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MOST_IDS", 0)
+    rows = jaccard_join.classes(spark.createDataFrame(corpus, DOCS)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == components_of(shingle_sets(corpus))
+
+
 def test_blocks_derive_overlaps(corpus):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**60, 80).astype(np.uint64)
@@ -89,6 +95,46 @@ def test_blocks_derive_overlaps(corpus):
     assert [found.find(i) for i in range(40)] == [expected.find(i) for i in range(40)]
 
 
+def test_blocks_skip_parts_of_lists_and_derive_answers():
+    """Entries read: only places of possible sizes, and little for a set close to one that has its answers."""
+    rng = np.random.default_rng(2)
+    common_part = rng.integers(0, 2**60, 40).astype(np.uint64)
+    grow = [np.unique(np.concatenate([common_part, rng.integers(0, 2**60, 10 * k).astype(np.uint64)])) for k in range(30)]  # all share 40, sizes differ
+    reads = []
+    jaccard_join.block_links(list(range(30)), grow, [0] * 30, 75, reads)
+    possible = [sum(1 for y in grow if 75 * len(x) <= 100 * len(y) and 75 * len(y) <= 100 * len(x)) for x in grow]
+    assert sum(reads) <= sum(40 * p + len(x) for p, x in zip(possible, grow)) < 30 * 30 * 40
+    base = rng.integers(0, 2**60, 200).astype(np.uint64)
+    sets = []
+    for k in range(60):  # two families of near copies, mixed by id and of equal size
+        s = np.concatenate([base[:100] if k % 2 else base[100:], base[50:150]])
+        s[rng.integers(0, 200)] = rng.integers(0, 2**60)
+        sets.append(np.unique(s))
+    reads = []
+    jaccard_join.block_links(list(range(60)), sets, [0] * 60, 75, reads)
+    whole = sum(len(np.intersect1d(x, y)) for x in sets for y in sets)
+    assert sum(reads) < whole / 10
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_blocks_of_any_sets_and_sides(seed):
+    rng = np.random.default_rng(seed)
+    pool = rng.integers(0, 2**60, 40).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool[: rng.integers(5, 41)], rng.integers(1, 40))) for _ in range(70)]
+    for sides in ([0] * 70, rng.integers(0, 2, 70).tolist()):
+        found, expected = Union(), Union()
+        for x, y in jaccard_join.block_links(list(range(70)), sets, sides, 75):
+            found.join(x, y)
+            n = len(np.intersect1d(sets[x], sets[y]))
+            assert 100 * n >= 75 * (len(sets[x]) + len(sets[y]) - n) and (len(set(sides)) == 1 or sides[x] != sides[y])
+        for x in range(70):
+            for y in range(x):
+                n = len(np.intersect1d(sets[x], sets[y]))
+                if 100 * n >= 75 * (len(sets[x]) + len(sets[y]) - n) and (len(set(sides)) == 1 or sides[x] != sides[y]):
+                    expected.join(x, y)
+        assert [found.find(i) for i in range(70)] == [expected.find(i) for i in range(70)]
+
+
 def test_join_edge_cases(spark, edge_docs):
     rows = jaccard_join.classes(edge_docs, keep=["n_words"]).collect()
     got = Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["n_words"]) for r in rows)
@@ -166,6 +212,57 @@ def test_templated_lines_of_several_chunks(spark, monkeypatch, small_band):
     assert [i for i in expected if got[i] != expected[i]] == []
 
 
+@pytest.mark.parametrize("setting", ["MOST_EDITED", "MOST_DROPPED"])
+def test_lines_are_dropped_by_a_join_too(spark, corpus, monkeypatch, setting):
+    monkeypatch.setattr(line_dedup, setting, 1)
+    rows = line_dedup.deduplicate(spark.createDataFrame(corpus, DOCS)).collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == expected_lines(corpus)
+
+
+def test_hot_bands_are_spread_and_full_sketches_lose_nothing(spark, corpus, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT", 1)  # all bands of the sample
+    monkeypatch.setattr(line_dedup, "RANGE_BYTES", 2000)
+    monkeypatch.setattr(line_dedup, "PACK_BYTES", 3000)
+    monkeypatch.setattr(line_dedup, "SKETCH_BITS", 3)  # all bits set
+    rows = line_dedup.deduplicate(spark.createDataFrame(corpus, DOCS).repartition(3)).collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == expected_lines(corpus)
+
+
+def test_sketches_of_similar_lines_agree():
+    """One changed character in lines of 45, similarity 0.78: no sketch misses, and most unlike lines do."""
+    rng = random.Random(3)
+    line = lambda: "".join(rng.choices("abcdefgh ", k=45))
+    lines = [line() for _ in range(400)]
+    near = [x[:20] + "Z" + x[21:] for x in lines]
+    _, sketch = line_dedup.signatures(lines + near)
+    low, high = sketch[:, 0], sketch[:, 1]
+    equal = lambda a, b: line_dedup.agreement(low, high, a, b)
+    one = np.arange(400)
+    assert (equal(one, one + 400) >= line_dedup.AGREE).all()
+    assert (equal(one, (one + 7) % 400) >= line_dedup.AGREE).sum() == 0
+
+
+def test_nearest_before_in_plain_python():
+    rng = np.random.default_rng(1)
+    low = rng.integers(0, 2**63, 60).astype(np.uint64)
+    high = low.copy()
+    for i in range(1, 60):
+        flips = rng.choice(64, rng.integers(0, 40), replace=False)
+        low[i] = low[i - rng.integers(1, min(i, 3) + 1)] ^ np.uint64(sum(1 << int(f) for f in flips))
+        high[i] = low[i]
+    first, size = np.array([0, 2, 7, 30, 32]), np.array([2, 5, 23, 2, 28])
+    parent, child, more = line_dedup.nearest_before(first, size, low, high, step=40)
+    value = lambda i, j: 64 - int((int(low[i]) ^ int(low[j])) | (int(high[i]) ^ int(high[j]))).bit_count()
+    expected, others = set(), []
+    for a, n in zip(first.tolist(), size.tolist()):
+        agreed = [(i, j) for j in range(a, a + n) for i in range(a, j) if value(i, j) >= line_dedup.AGREE]
+        best = {j: max((i for i, k in agreed if k == j), key=lambda i: (value(i, j), -i)) for j in {j for _, j in agreed}}
+        expected |= {(i, j) for j, i in best.items()}
+        others.append(len(agreed) > len(best))
+    assert set(zip(parent.tolist(), child.tolist())) == expected and more.tolist() == others
+    assert any(others) and len(expected) > 10
+
+
 def test_line_edge_cases(spark, edge_docs):
     out = line_dedup.deduplicate(edge_docs)
     rows = {(r["doc_id"], r["n_lines"], r["n_kept"]) for r in out.collect()}
@@ -268,10 +365,48 @@ def test_secrets(spark, edge_docs):
         assert [(c["kind"], c["start"], c["end"]) for c in found[i]["candidates"]] == plain_spans(t or "")
     assert ("live", text.index(live), text.index(live) + 16) in {(v["kind"], v["start"], v["end"]) for v in found[1]["verdicts"]}
     assert {(v["kind"], v["n_owners"]) for i in (2, 3, 4) for v in found[i]["verdicts"]} == {("example", 3)}
+    spans = {i: {(v["kind"], v["start"], v["end"]) for v in found[i]["verdicts"]} for i in found}
+    for r in secrets.find(docs).select("doc_id", "candidates", "verdicts", secrets.digest(F.col("candidates")).alias("base"), secrets.digest(secrets.merged(F.col("candidates"), F.col("verdicts"))).alias("all")).collect():
+        base = [(c["kind"], c["start"], c["end"]) for c in r["candidates"]]
+        assert r["base"] == ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        both = sorted([*base, *spans[r["doc_id"]]], key=lambda s: (s[1], secrets.KINDS.index(s[0]), s[2]))
+        assert r["all"] == ",".join(f"{k}:{a}:{b}" for k, a, b in both)
     edge = secrets.find(edge_docs)
     assert edge.count() == len(EDGE) and secrets.find(edge_docs.limit(0)).count() == 0
 
 
+def test_owners_and_repositories_decide(spark):
+    def value(i):
+        return hashlib.sha256(str(i).encode()).hexdigest()[:24].replace("0", "Q")
+
+    rows = [(i, f"token={value(0)}", "hot") for i in range(50)]  # one owner, many repositories
+    rows += [(100 + i, f"token={value(1)}", None) for i in range(50)]  # owners unknown, many repositories
+    rows += [(200, f"token={value(2)}", None)]  # owner unknown, one repository
+    rows += [(201 + i, f"token={value(3)}", f"s{i}") for i in range(2)]  # two owners
+    rows += [(210 + i, f"token={value(4)}", "hot") for i in range(3)]  # one owner, few repositories
+    rows += [(220, "token=changeme-please", "hot"), (None, f"token={value(5)}", "hot"), (None, f"token={value(5)}", "hot")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.find(docs, keep=["text"]).collect()
+    kinds = {(r["text"], v["kind"], v["n_owners"], v["n_repositories"]) for r in found for v in r["verdicts"]}
+    name = lambda i: f"token={value(i)}"
+    assert kinds == {
+        (name(0), "example", 1, 50), (name(1), "example", 0, 50), (name(2), "live", 0, 1), (name(3), "example", 2, 2),
+        (name(4), "live", 1, 3), ("token=changeme-please", "example", 1, 1), (name(5), "live", 1, 0),
+    }
+
+
+def test_hash_join_can_be_split(spark):
+    rows = [(i, "token=q9Zt7LmPx2Rv8WcK", "s") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.scan(docs).select(F.col("doc_id").alias("__row"), "source", "candidates")
+    each = found.select("__row", F.explode("candidates").alias("c")).select("__row", "c.*")
+    counts = secrets.ownership(found, "source", "__row")
+    joined = secrets.with_counts(each.hint("merge"), counts)
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(hash") == text.count("Exchange hashpartitioning") and re.search(r"hashpartitioning\(hash#\d+, __spread", text)
+    assert len(re.findall(r"Exchange hashpartitioning\(hash#\d+, __spread#\d+L", text)) == 2
+
+
 # --- classifiers ------------------------------------------------------------------
 
 
@@ -284,6 +419,69 @@ def labelled(spark, kind):
     return spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
+def test_samples_are_bounded_by_rows(spark, monkeypatch):
+    """One document for each labelled id, however often it occurs."""
+    docs, labels = labelled(spark, "toxic")
+    many = docs.unionByName(spark.range(3000).select(F.lit(0).cast("long").alias("doc_id"), F.concat(F.lit("copy "), F.col("id")).alias("text")))
+    seen = []
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 40)
+    monkeypatch.setattr(quality, "SAMPLE_ROWS", 40)
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, weights: seen.append((len(texts), int(labels.sum()), weights.tolist())))
+    monkeypatch.setattr(quality, "fit", lambda rows, labels: seen.append((len(rows),)))
+    toxicity.train(many, labels.where("doc_id < 160 and doc_id % 3 > 0 or doc_id < 100"))
+    quality.train(many, labels)
+    number, toxic, weights = seen[0]
+    assert (number, toxic) == (40, 20) and seen[1] == (40,)
+    assert set(weights) == {60 / 20, 40 / 20}
+
+
+def test_score_is_the_worst_window_in_plain_python():
+    rng = np.random.default_rng(2)
+    words = ["alpha", "Beta", "gam-ma", "\u00e9t\u00e9", "x1", "so", "so", "idiot"]
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 5, 24, 25, 60, 200)]
+    model = toxicity.Model(rng.normal(size=1 << toxicity.BUCKET_BITS), 0.3, 1.7, -0.2)
+
+    def hashed(piece, word=False):
+        data = np.frombuffer(piece, dtype=np.uint8)
+        if word:
+            value = common.word_hashes(data, np.array([0]), np.array([len(data)]))[0]
+        else:
+            value = np.uint64(sum(int(b) << (8 * k) for k, b in enumerate(piece)) + len(piece))
+        return int((int(value) * int(toxicity._MULTIPLIER) % 2**64) >> (64 - toxicity.BUCKET_BITS))
+
+    for text, score in zip(texts, model.scores([t.encode() for t in texts])):
+        plain = bytes(toxicity._NORMAL[b] for b in text.encode()).split()
+        plain = [w for i, w in enumerate(plain) if not i or w != plain[i - 1]]
+        logits = []
+        for begin in range(0, max(1, len(plain) - toxicity.WINDOW + toxicity.WINDOW // 2), toxicity.WINDOW // 2) if plain else []:
+            bag = []
+            for word in plain[begin : begin + toxicity.WINDOW]:
+                marked = b" " + word + b" "
+                bag += [hashed(marked[i : i + n]) for n in toxicity.GRAMS for i in range(len(marked) - n + 1)]
+                bag.append(hashed(word, True))
+            logits.append(sum(model.weights[b] for b in bag) / max(len(bag), toxicity.LEAST))
+        logit = model.bias + (max(logits) if logits else 0.0)
+        assert score == pytest.approx(1 / (1 + np.exp(-(1.7 * logit - 0.2))), abs=1e-9)
+
+
+def test_flat_trees_equal_plain_traversal():
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(300, len(quality.STATISTICS)))
+    labels = (rows[:, 0] + rows[:, 3] * rows[:, 5] > 0).astype(np.int64)
+    forest = quality.fit(rows, labels, trees=12)
+    for row, score in zip(rows, forest.scores(rows)):
+        total = forest.start
+        for root in forest.roots.tolist():
+            at = root
+            while forest.left[at] != at:
+                column = int(forest.column[at])
+                bin_ = sum(e < row[column] for e in forest.edges[column])
+                at = int(forest.left[at]) + int(bin_ > forest.bin[at])
+            total += forest.value[at]
+        assert score == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9)
+    assert ((forest.scores(rows) > 0.5) == labels).mean() > 0.9
+
+
 def test_toxicity_learns_and_shares_ngrams(spark, edge_docs):
     docs, labels = labelled(spark, "toxic")
     model = toxicity.train(docs, labels.where("doc_id % 4 <> 2"))

@@ -106,6 +106,10 @@ def encode(
     return common.with_text_columns(df, text, fields, make, keep)
 
 
+def decode_ids(ids: bytes | None, tokens: list[bytes]) -> bytes:
+    return b"".join([tokens[i] for i in np.frombuffer(ids or b"", dtype="<u4").tolist()])
+
+
 def decode(df: DataFrame, ids: str = "token_ids", ranks_file: str | None = None) -> DataFrame:
     """Adds ``decoded`` (binary): the bytes of the ids, which need not be whole UTF-8.
 
@@ -122,10 +126,7 @@ def decode(df: DataFrame, ids: str = "token_ids", ranks_file: str | None = None)
             column = batch.column(where)
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                out = [
-                    b"".join([tokens[i] for i in np.frombuffer(v or b"", dtype="<u4").tolist()])
-                    for v in column.slice(start, 512).to_pylist()
-                ]
+                out = [decode_ids(v, tokens) for v in column.slice(start, 512).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*rest, "decoded"])
 
     return source.mapInArrow(run, schema)
@@ -141,8 +142,24 @@ def id_array(ids: str = "token_ids"):
 
 
 def round_trip(df: DataFrame, id_column: str = "doc_id", text: str = "text", ranks_file: str | None = None) -> DataFrame:
-    """Digests of a text's ids and of the bytes they decode to, for each row."""
-    coded = decode(encode(df, text, ranks_file, keep=[id_column]), ranks_file=ranks_file)
+    """Digests of a text's ids and of the bytes they decode to, for each row.
+
+    One pass encodes and decodes, so that a task needs one Python worker, not two.
+    """
+
+    def make():
+        encoder, tokens = encoding(ranks_file), _token_bytes(ranks_file)
+
+        def run(texts: common.Texts) -> list:
+            ids = [encode_text(t, encoder) for t in texts.strings()]
+            coded = [x.tobytes() for x in ids]
+            decoded = [decode_ids(c, tokens) for c in coded]
+            return [np.array([len(x) for x in ids], dtype=np.int64), pa.array(coded, pa.binary()), pa.array(decoded, pa.binary())]
+
+        return run
+
+    fields = [("n_tokens", T.LongType()), ("token_ids", T.BinaryType()), ("decoded", T.BinaryType())]
+    coded = common.with_text_columns(df, text, fields, make, [id_column])
     return coded.select(
         id_column,
         "n_tokens",

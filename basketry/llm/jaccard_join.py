@@ -137,6 +137,7 @@ def frequent(docs: DataFrame, text: str, scratch: Scratch, words: int, bits: int
                     [pa.array(part[edge] if len(part) else part, pa.int32()), pa.array([v.tobytes() for v in values], pa.binary())],
                     names=["range", "grams"],
                 )
+        common.release()
 
     def count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
@@ -220,6 +221,7 @@ def select_sets(docs: DataFrame, text: str, wanted: DataFrame, words: int) -> Da
                         if i not in out and (known is None or (len(known) and known[min(np.searchsorted(known, i), len(known) - 1)] == i)):
                             out[i] = s.tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], names=["id", "grams"])
+        common.release()
 
     sets = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(run, "id long, grams binary")
     if not few:
@@ -248,6 +250,7 @@ def verified(pairs: DataFrame, sets: DataFrame, numerator: int) -> DataFrame:
                 n = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(_linked(n, len(x), len(y), numerator))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+        common.release()
 
     return both.mapInArrow(run, "a long, b long")
 

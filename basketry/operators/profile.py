@@ -337,21 +337,26 @@ def top_ngrams(
 
     A first pass counts hash cells, ``cells`` numbers in all, as one row of a count-min
     sketch: no n-gram occurs more often than its cell. Of the fullest cells the
-    n-grams are counted; the ``k``-th of these is a bound, and all n-grams of cells that
-    reach it are counted in the last pass. Cells below it hold none of the ``k``. The
-    sketch is written to the checkpoint folder while the plan is made.
+    n-grams are counted; the ``k``-th of these is a bound, and cells below it hold none of
+    the ``k``. If other cells reach it, a last pass counts all that do. Sketch and
+    counts are written to the checkpoint folder while the plan is made.
     """
     grams = _ngrams_of(df, text, n, stop_words).withColumn("cell", F.pmod(F.xxhash64("ngram"), F.lit(cells)))
     sketch = cut_lineage(grams.groupBy("cell").agg(F.count(F.lit(1)).alias("full")))
-    fullest = sketch.orderBy(F.desc("full"), "cell").limit(2 * k)
-    some = grams.join(F.broadcast(fullest.select("cell")), "cell").groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
-    kth = some.orderBy(F.desc("n")).limit(k).agg(F.min("n"), F.count(F.lit(1))).first()
+    fullest = sketch.orderBy(F.desc("full"), "cell").limit(2 * k).collect()
+    counts = cut_lineage(_counted_cells(grams, df.sparkSession.createDataFrame([(r["cell"],) for r in fullest], "cell long")))
+    kth = counts.orderBy(F.desc("n")).limit(k).agg(F.min("n"), F.count(F.lit(1))).first()
     bound = kth[0] if kth[1] == k else 1
-    reaching = sketch.where(F.col("full") >= bound).select("cell")
-    counts = grams.join(F.broadcast(reaching), "cell").groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))  # ``cells`` at most
+    if len(fullest) == 2 * k and fullest[-1]["full"] >= bound:  # else all that reach the bound are counted
+        counts = _counted_cells(grams, sketch.where(F.col("full") >= bound).select("cell"))
     return counts.orderBy(F.desc("n"), F.asc("ngram")).limit(k)
 
 
+def _counted_cells(grams: DataFrame, cells: DataFrame) -> DataFrame:
+    """``ngram, n`` of the n-grams of some cells, of which there are a fixed number at most."""
+    return grams.join(F.broadcast(cells), "cell").groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
+
+
 def word_frequencies(
     df: DataFrame, text: str, stop_words: list[str] | None = None
 ) -> DataFrame:

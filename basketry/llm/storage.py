@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame
 from basketry.sources.lineage import ensure_checkpoint_dir, note, remove
 
 
-def cut(df: DataFrame, path: str | None = None) -> DataFrame:
+def cut(df: DataFrame, path: str | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Unlike a plain checkpoint, later steps read only the columns they need. The
     files are as safe as the folder, so a lost executor costs no recomputation.
     """
     path = path or note(f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -33,9 +33,9 @@ class Scratch:
         self.root = note(f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}")
         self.number = 0
 
-    def cut(self, df: DataFrame) -> DataFrame:
+    def cut(self, df: DataFrame, compression: str | None = None) -> DataFrame:
         self.number += 1
-        return cut(df, f"{self.root}/{self.number}")
+        return cut(df, f"{self.root}/{self.number}", compression)
 
     def drop(self, df: DataFrame) -> None:
         """Delete the files of one cut table that is no longer read."""

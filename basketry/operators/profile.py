@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from math import ceil, floor, isfinite
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer, StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.text import char_count, ngrams, tokens, word_count
+from basketry.llm import common
 from basketry.operators.skew import join_keys
 from basketry.sources.lineage import cut_lineage
 
@@ -18,6 +23,10 @@ QUARTILES = (0.25, 0.5, 0.75)
 MOST_IN_A_BIN, SUB_BINS = 1 << 20, 256
 # Cells of the sketch that finds frequent n-grams.
 SKETCH_CELLS = 1 << 20
+# Different n-grams that a task counts before it sends them on.
+HELD_NGRAMS = 1 << 18
+# Bytes that separate words, as ``tokens`` does.
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 # Types whose few possible values are numbers by themselves: their bitmaps are small.
 NUMBERED_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.DateType)
 
@@ -313,6 +322,10 @@ def english_stop_words() -> list[str]:
 
 def _ngrams_of(df: DataFrame, text: str, n: int, stop_words: list[str] | None) -> DataFrame:
     """All n-grams of whole texts, one row each."""
+    return _words(df, text, stop_words).select(F.explode(ngrams(F.col("words"), n)).alias("ngram"))
+
+
+def _words(df: DataFrame, text: str, stop_words: list[str] | None) -> DataFrame:
     words = df.select(tokens(text, lower=True).alias("words")).where(F.col("words").isNotNull())
     if stop_words:
         words = (
@@ -320,7 +333,7 @@ def _ngrams_of(df: DataFrame, text: str, n: int, stop_words: list[str] | None) -
             .transform(words)
             .select(F.col("kept").alias("words"))
         )
-    return words.select(F.explode(ngrams(F.col("words"), n)).alias("ngram"))
+    return words
 
 
 def ngram_counts(
@@ -339,22 +352,80 @@ def top_ngrams(
     sketch: no n-gram occurs more often than its cell. Of the fullest cells the
     n-grams are counted; the ``k``-th of these is a bound, and cells below it hold none of
     the ``k``. If other cells reach it, a last pass counts all that do. Sketch and
-    counts are written to the checkpoint folder while the plan is made.
+    counts are written to the checkpoint folder while the plan is made. Both passes hash
+    n-grams in Arrow tasks, on the bytes of many texts at once.
     """
-    grams = _ngrams_of(df, text, n, stop_words).withColumn("cell", F.pmod(F.xxhash64("ngram"), F.lit(cells)))
-    sketch = cut_lineage(grams.groupBy("cell").agg(F.count(F.lit(1)).alias("full")))
+    texts = _texts(df, text, stop_words)
+    sketch = cut_lineage(texts.mapInArrow(_cell_counter(n, cells), "cell bigint, full bigint").groupBy("cell").agg(F.sum("full").alias("full")))
     fullest = sketch.orderBy(F.desc("full"), "cell").limit(2 * k).collect()
-    counts = cut_lineage(_counted_cells(grams, df.sparkSession.createDataFrame([(r["cell"],) for r in fullest], "cell long")))
+    counts = cut_lineage(_counted_cells(texts, n, cells, [r["cell"] for r in fullest]))
     kth = counts.orderBy(F.desc("n")).limit(k).agg(F.min("n"), F.count(F.lit(1))).first()
     bound = kth[0] if kth[1] == k else 1
     if len(fullest) == 2 * k and fullest[-1]["full"] >= bound:  # else all that reach the bound are counted
-        counts = _counted_cells(grams, sketch.where(F.col("full") >= bound).select("cell"))
+        reached = sketch.where(F.col("full") >= bound).select("cell").toArrow()  # numbers of ``cells`` cells at most
+        counts = _counted_cells(texts, n, cells, reached.column("cell").to_pylist())
     return counts.orderBy(F.desc("n"), F.asc("ngram")).limit(k)
 
 
-def _counted_cells(grams: DataFrame, cells: DataFrame) -> DataFrame:
-    """``ngram, n`` of the n-grams of some cells, of which there are a fixed number at most."""
-    return grams.join(F.broadcast(cells), "cell").groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
+def _texts(df: DataFrame, text: str, stop_words: list[str] | None) -> DataFrame:
+    """Texts in lower case, without stop words."""
+    if not stop_words:
+        return df.select(F.lower(F.col(text)).alias("text")).where("text IS NOT NULL")
+    return _words(df, text, stop_words).select(F.array_join("words", " ").alias("text"))
+
+
+def _hashed_ngrams(batches: Iterator[pa.RecordBatch], n: int, cells: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of some texts at a time the bytes, start and end of every word, the first word of every n-gram and its cell."""
+    for batch in batches:
+        column = common.string_column(batch.column(0))
+        for start, stop in common.chunks(column):
+            texts = common.Texts(column.slice(start, stop - start))
+            starts, ends, first = common.word_spans(texts.bytes, texts.offsets, _SPACE)
+            words = common.word_hashes(texts.bytes, starts, ends)
+            size = len(words) - n + 1
+            if size < 1:
+                continue
+            owner = np.repeat(np.arange(len(texts)), np.diff(first))
+            at = np.flatnonzero(owner[:size] == owner[n - 1 :])
+            value = np.zeros(len(at), dtype=np.uint64)
+            for k in range(n):
+                value = common.mix(value + words[at + k])
+            yield texts.bytes, starts, ends, at, (value % np.uint64(cells)).astype(np.int64)
+
+
+def _cell_counter(n: int, cells: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = np.zeros(cells, dtype=np.int64)
+        for *_, cell in _hashed_ngrams(batches, n, cells):
+            np.add.at(full, cell, 1)
+        there = np.flatnonzero(full)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(full[there])], names=["cell", "full"])
+
+    return run
+
+
+def _counted_cells(texts: DataFrame, n: int, cells: int, wanted: list[int]) -> DataFrame:
+    """``ngram, n`` of the n-grams of some cells. A task counts up to ``HELD_NGRAMS`` different ones at a time."""
+    mask = np.zeros(cells, dtype=bool)
+    mask[wanted] = True
+    shared = texts.sparkSession.sparkContext.broadcast(np.packbits(mask))  # a bit for each cell
+
+    def batch_of(counts: Counter) -> pa.RecordBatch:
+        grams = pa.array(list(counts), pa.binary()).cast(pa.string(), safe=False)
+        return pa.RecordBatch.from_arrays([grams, pa.array(list(counts.values()), pa.int64())], names=["ngram", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen, counts = np.unpackbits(shared.value, count=cells).view(bool), Counter()
+        for data, starts, ends, at, cell in _hashed_ngrams(batches, n, cells):
+            raw, found = data.tobytes(), at[chosen[cell]]
+            spans = zip(*[starts[found + k].tolist() for k in range(n)], *[ends[found + k].tolist() for k in range(n)])
+            counts.update(b" ".join([raw[s[k] : s[n + k]] for k in range(n)]) for s in spans)
+            if len(counts) > HELD_NGRAMS:
+                yield batch_of(counts)
+                counts = Counter()
+        yield batch_of(counts)
+
+    return texts.mapInArrow(run, "ngram string, n bigint").groupBy("ngram").agg(F.sum("n").alias("n"))
 
 
 def word_frequencies(

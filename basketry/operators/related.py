@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.dates import DateLike, as_date, week_bucket
 from basketry.operators.popularity import article_counts, article_stats
-from basketry.operators.skew import join_keys, join_totals, numbered, positions, top_per_group
+from basketry.operators.skew import join_keys, join_totals, many_partitions, numbered, positions, top_per_group
 from basketry.operators.windows import trailing_window
 from basketry.sources.lineage import cut_lineage
 
@@ -177,13 +177,21 @@ def copurchase_pairs(tx: DataFrame, last: DateLike, days: int = 7) -> DataFrame:
     can pass the best. Baskets no deeper than the first round are paired in full,
     once for both directions. Each round's tables are written to the checkpoint
     folder while the plan is made; the deepest basket gives the number of rounds.
+    Articles are known by their number in the order of ties, so that pairs are two
+    numbers and a partner's rank is one, with its count.
     """
+    many_partitions(tx.sparkSession)
     basket = ["customer_id", "week_end"]
     rows = tx.select("customer_id", week_bucket("t_dat", last, days).alias("week_end"), "article_id").distinct()
     sizes = rows.groupBy(*basket).agg(F.count(F.lit(1)).alias("size"))
     rows = cut_lineage(join_totals(rows, sizes, basket))
-    common = cut_lineage(rows.groupBy("article_id").agg(F.count(F.lit(1)).alias("baskets"), F.max("size").alias("deepest")))
+    common = rows.where("article_id IS NOT NULL").groupBy("article_id").agg(F.count(F.lit(1)).alias("baskets"), F.max("size").alias("deepest"))
+    common = numbered(common.withColumn("_all", F.lit(0)), ["_all"], [F.desc("baskets"), F.asc("article_id")], "number").drop("_all")
+    named = cut_lineage(common)
+    common = named.select(F.col("number").alias("article_id"), "baskets", "deepest")
     deepest = common.agg(F.max("deepest")).first()[0] or 0
+    rows = join_totals(rows.where("size > 1"), named.select("article_id", "number"), ["article_id"])
+    rows = cut_lineage(rows.select(*basket, F.col("number").alias("article_id"), "size"))
 
     small = rows.where(F.col("size").between(2, FIRST_DEPTH))
     found = _both_ways(small, basket)
@@ -204,8 +212,17 @@ def copurchase_pairs(tx: DataFrame, last: DateLike, days: int = 7) -> DataFrame:
             found = join_keys(found, closed, ["article_id"], "left_anti")
             open_rows = cut_lineage(join_keys(open_rows.where(F.col("size") > high), closed, ["article_id"], "left_anti"))
             low, high = high, high * DEEPER
-    rest = _with_baskets(found, common).groupBy("article_id").agg(F.min(_partner_order()).alias("best")).select("article_id", "best.*")
-    return (rest if done is None else done.unionByName(rest)).select("article_id", "article_id2", (-F.col("n")).alias("n"))
+    # the largest count, then the smallest number, in one number that a hash aggregate holds
+    best = F.max(F.shiftleft("n", 32) - F.col("article_id2")).alias("_best")
+    number = (F.shiftleft(F.lit(1).cast("bigint"), 32) - F.col("_best").bitwiseAND(0xFFFFFFFF)) % (1 << 32)
+    rest = found.groupBy("article_id").agg(best).select(
+        "article_id", number.alias("article_id2"), (-F.shiftright(F.col("_best") + number, 32)).alias("n")
+    )
+    result = rest if done is None else done.select("article_id", "article_id2", "n").unionByName(rest)
+    of = named.select(F.col("number").alias("article_id"), F.col("article_id").alias("_name"))
+    partner = of.select(F.col("article_id").alias("article_id2"), F.col("_name").alias("_name2"))
+    result = join_totals(join_totals(result, of, ["article_id"]), partner, ["article_id2"])
+    return result.select(F.col("_name").alias("article_id"), F.col("_name2").alias("article_id2"), (-F.col("n")).alias("n"))
 
 
 def _both_ways(small: DataFrame, basket: list[str]) -> DataFrame:

@@ -28,7 +28,7 @@ from basketry.operators.history import (
 )
 from basketry.operators.popularity import popular_items
 from basketry.operators.related import alternates, renumbered, still_sold
-from basketry.operators.skew import attach_segment_list, join_totals, top_per_group
+from basketry.operators.skew import attach_segment_list, join_totals, many_partitions, top_per_group
 from basketry.operators.trend import trend_items, trend_popular
 from basketry.operators.windows import (
     WindowList,
@@ -382,8 +382,10 @@ def blended(
 
     Whether an article still sells is one flag per article, from a single table of
     the trailing days. Lists get it with the lookup of variants, or while they are
-    still short, and carry it through the blend.
+    still short, and carry it through the blend. Shuffles of the session begin with
+    ``skew.PARTITIONS`` partitions from here on.
     """
+    many_partitions(tx.sparkSession)
     past = tx.where(F.col("t_dat") <= as_date(last))
     bought = last_purchase_items(past, purchase_days).select("customer_id", "rank", "article_id")
     # Read twice below, and the only part that needs every row of the past.

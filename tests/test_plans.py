@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.operators import combine, evaluate, history, popularity, related, windows
+from basketry.operators import combine, evaluate, history, popularity, profile, related, skew, windows
 from basketry.plans import recommend
 from basketry.sources import tables
 
@@ -135,3 +135,27 @@ def test_windows_are_read_once(stored):
     for found in (recommend.channel_fill(tx, articles, population, ws), recommend.stacked_alternates(tx, articles, population, ws)):
         text = found._jdf.queryExecution().executedPlan().toString()
         assert source.removeprefix("file://") not in text and "FileScan" in text
+
+
+def test_shuffles_of_the_blend_begin_with_many_partitions(spark, stored):
+    text = plan(recommend.blended(*[stored[i] for i in (0, 2, 3, 1)], LAST))
+    parts = [int(n) for n in re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\), ENSURE", text)]
+    assert parts and min(parts) >= skew.PARTITIONS > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_best_partners_need_no_sort_of_all_pairs(stored):
+    tx, *_ = stored
+    text = plan(related.copurchase_pairs(tx, LAST))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_ngrams_are_no_rows_before_they_are_counted(spark, monkeypatch):
+    df = spark.createDataFrame([("A b c\td  A b c",), ("İx Σ a",), ("  ",), (None,)], "text string")
+    cut, plans = profile.cut_lineage, []
+    monkeypatch.setattr(profile, "cut_lineage", lambda table: (plans.append(plan(table)), cut(table))[1])
+    found = profile.top_ngrams(df, "text", 2, 10)
+    assert len(plans) == 2 and not any("Generate" in text for text in plans)
+    expected = profile.ngram_counts(df, "text", 2).orderBy(F.desc("n"), "ngram").limit(10)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    stop = ["b c"]
+    assert sorted(map(tuple, profile.top_ngrams(df, "text", 2, 10, stop).collect())) == sorted(map(tuple, profile.ngram_counts(df, "text", 2, stop).collect()))

@@ -109,6 +109,8 @@ def blend(
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
+    # Hardly any row has a partner in its own task, so sums before the shuffle would only take memory.
+    rows = rows.repartition("customer_id", "article_id")
     scores = rows.groupBy("customer_id", "article_id").agg(
         F.round(F.sum("_part"), SCORE_DIGITS).alias("score"),
         F.min("_place").alias("_first"),

@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,6 +264,63 @@ def test_nearest_before_in_plain_python():
     assert any(others) and len(expected) > 10
 
 
+def odd_lines(seed, n):
+    """Lines of several alphabets, short ones and such with null characters among them, and edited copies."""
+    rng = random.Random(seed)
+    letters = ["abcdefgh ", "é\U0001f600ab ", "".join(map(chr, range(0x4E00, 0x4E00 + 3000))), "a\0"]
+    lines = ["", "a", "abcd", "abcd\0", "abcde", "\0\0\0\0\0"]
+    for _ in range(n):
+        lines.append("".join(rng.choices(rng.choice(letters), k=rng.randint(1, 90))))
+        copy = rng.choice(lines[6:])
+        lines.append(copy[: rng.randint(0, len(copy))] + rng.choice(["", "x", "yz"]) + copy[rng.randint(0, len(copy)) :])
+    return lines
+
+
+def test_similar_lines_equal_sets_and_maps_lose_none(monkeypatch):
+    monkeypatch.setattr(line_dedup, "STEP", 400)
+    lines = odd_lines(7, 150)
+    a, b = np.triu_indices(len(lines), 1)
+    sets = [line_dedup.grams(x) for x in lines]
+    expected = [100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) for i, j in zip(a.tolist(), b.tolist())]
+    column = pa.array(lines)
+    got = line_dedup.similar(column.take(pa.array(a)), column.take(pa.array(b)))
+    assert got.tolist() == expected and 5 < sum(expected) < len(a) // 10
+    may = line_dedup.possible(*line_dedup.bitmaps(column), a, b)
+    assert may[expected].all() and may.sum() < len(a) // 10
+
+
+def test_lines_have_the_same_id_in_every_step(monkeypatch):
+    lines = pa.array([*odd_lines(8, 50), " ", "\t\x1c", "\x85", "\u2003", " b", "z" * 3000])
+    whole = line_dedup.line_ids(lines)
+    keys, sketch = line_dedup.signatures(lines)
+    monkeypatch.setattr(line_dedup, "STEP", 100)  # a step of its own for the last line
+    assert (line_dedup.line_ids(lines) == whole).all()
+    assert all((x == y).all() for x, y in zip(line_dedup.signatures(lines.to_pylist()), (keys, sketch)))
+    assert [not x.strip() for x in lines.to_pylist()] == (whole == 0).tolist()
+
+
+def test_unsettled_bands_of_one_call(spark, monkeypatch):
+    """Many bands share a call; a pair of two bands is compared once, and only lines that can be similar are."""
+    compared = spark.sparkContext.accumulator(0)
+    similar = line_dedup.similar
+
+    def counted(left, right, numerator):
+        compared.add(len(left))
+        return similar(left, right, numerator)
+
+    monkeypatch.setattr(line_dedup, "similar", counted)
+    rng = random.Random(5)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    texts = [words(20) for _ in range(60)]
+    texts += [x[:50] + "Z" + x[51:] for x in texts[:20]]
+    bands = [(band, i) for band in range(30) for i in range(80) if i % 20 == band % 20 or i % 7 == band % 7]
+    rest = spark.createDataFrame([(band, i, 0, 0, i, 20) for band, i in bands], "band long, id long, low long, high long, root long, n long")
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    found = {(r["a"], r["b"]) for r in line_dedup.settled(rest, lines).collect()}
+    assert found == {(i, i + 60) for i in range(20)}
+    assert compared.value < 3 * len(found)
+
+
 def test_line_edge_cases(spark, edge_docs):
     out = line_dedup.deduplicate(edge_docs)
     rows = {(r["doc_id"], r["n_lines"], r["n_kept"]) for r in out.collect()}

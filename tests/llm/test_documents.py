@@ -77,6 +77,25 @@ def test_join_selects_sets_by_a_join_too(spark, corpus, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in rows} == components_of(shingle_sets(corpus))
 
 
+def test_all_frequent_ngrams_come_last(spark, corpus, monkeypatch):
+    """The table has every frequent n-gram, so that none of them is in the prefix of a text with enough others."""
+    rng = random.Random(5)
+    text = lambda n: " ".join(str(rng.randrange(10**9)) for _ in range(n))
+    passages = [text(20) for _ in range(30)]
+    rows = [(i, f"{text(40)} {passages[i % 30]}") for i in range(30 * jaccard_join.FREQUENT)]
+    docs = spark.createDataFrame(rows, DOCS)
+    order = jaccard_join._order(jaccard_join.frequent(docs, "text", jaccard_join.Scratch(spark), 5))
+    several = {g for p in passages for g in jaccard_join.shingles(common.Texts(pa.array([p])))[0].tolist()}
+    sets = jaccard_join.shingles(common.Texts(pa.array([t for _, t in rows])))
+    assert sum(len(several & set(s[order.classes[s >> order.cut] > 0].tolist())) for s in sets) == 16 * len(rows)
+    assert not any(several & set(order.prefix(s, 75).tolist()) for s in sets)
+    assert jaccard_join.frequency_class(np.array([8, 16, 10**9])).tolist() == [1, 17, 255]
+    monkeypatch.setattr(jaccard_join, "MOST_PLACES", 1)  # a full table changes the work, not the links
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 2)
+    found = jaccard_join.classes(spark.createDataFrame(corpus, DOCS)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == components_of(shingle_sets(corpus))
+
+
 def test_blocks_derive_overlaps(corpus):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**60, 80).astype(np.uint64)
